@@ -12,6 +12,7 @@ from loanlens.operators.joins import pair_with_background
 from loanlens.operators.models import SCORE
 from loanlens.operators.project import align_features, sanitise_numbers
 from loanlens.operators.ranking import sample_rows
+from loanlens.session import materialise
 
 
 def attributions(
@@ -35,6 +36,7 @@ def attributions(
     names = list(model.features)
     aligned, _ = align_features(features, names, [key])
     rows = sample_rows(sanitise_numbers(aligned, names), key, sample_size, seed)
+    rows = materialise(rows, "attribution-sample")
     ordered = Window.orderBy(seeded_key(F.col(key), seed + 1), key)
     background = sample_rows(rows, key, background_size, seed + 1).withColumn(
         "slot", F.row_number().over(ordered) - 1
@@ -67,9 +69,9 @@ def attributions(
         ],
     )
     scored = model.score(mixed, [key, "_step", "_order"])
-    gained = F.struct(F.try_element_at("_order", F.col("_step")).alias("i"), F.col(SCORE).alias("d"))
+    gained = F.struct(F.get("_order", F.col("_step") - 1).alias("i"), F.col(SCORE).alias("d"))
     lost = F.struct(
-        F.try_element_at("_order", F.col("_step") + 1).alias("i"), (-F.col(SCORE)).alias("d")
+        F.get("_order", F.col("_step")).alias("i"), (-F.col(SCORE)).alias("d")
     )
     moves = F.array(
         F.when(F.col("_step") > 0, gained), F.when(F.col("_step") < len(names), lost)

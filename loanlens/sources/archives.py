@@ -60,11 +60,15 @@ def _lines_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"year": item.year, "quarter": item.quarter, "line": lines})
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system of a URI or a mounted path, and the path inside it."""
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
 def _stream_member(archive: str, inner: str, member: str) -> Iterator[list[str]]:
-    if "://" in archive or archive.startswith("file:"):
-        fs, path = pafs.FileSystem.from_uri(archive)
-    else:
-        fs, path = pafs.LocalFileSystem(), archive
+    fs, path = file_system(archive)
     if fs.get_file_info(path).type == pafs.FileType.NotFound:
         return
     with fs.open_input_file(path) as raw, zipfile.ZipFile(raw) as outer:
