@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlens.functions.scalars import ratio
 from loanlens.operators.prefix import place_in_buckets, quantile_edges, running_sums
@@ -193,7 +194,7 @@ def chi_square_p_value(x: float, degrees: int) -> float:
     return min(1.0, tail)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi_square_p(x: pd.Series, degrees: pd.Series) -> pd.Series:
     """One value per (year, feature), so the rows here are few."""
     return pd.Series([chi_square_p_value(a, int(b)) for a, b in zip(x, degrees, strict=True)])
