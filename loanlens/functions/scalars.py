@@ -10,20 +10,22 @@ from pyspark.sql import functions as F
 MISSING_CLASS = "<NA>"
 
 
+NUMBER = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
+WHOLE = r"^\s*([+-]?\d+)(?:\.0*)?\s*$"
+
+
 def to_number(c: Column) -> Column:
-    """Text to double; anything that is not a number becomes null.
+    """Text to double; anything that is not a finite number becomes null.
 
-    Java's parser takes a trailing ``d`` or ``f`` as a type suffix, so those are refused.
+    The pattern keeps out what Java's parser takes but a data file never means as a number
+    (``1d``, ``NaN``, ``Infinity``), and names the input once, so the plan stays small.
     """
-    text = F.trim(c.cast("string"))
-    value = F.when(~text.rlike("[dDfF]$"), text).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.regexp_extract(c.cast("string"), NUMBER, 1).try_cast("double")
 
 
 def to_integer(c: Column) -> Column:
-    """Text or number to a nullable bigint; fractions are not integers and become null."""
-    value = to_number(c)
-    return F.when(value == F.floor(value), value).try_cast("bigint")
+    """Text or number to a nullable bigint, ``200503.0`` included; fractions become null."""
+    return F.regexp_extract(c.cast("string"), WHOLE, 1).try_cast("bigint")
 
 
 def to_month(c: Column) -> Column:
@@ -31,6 +33,14 @@ def to_month(c: Column) -> Column:
     return F.try_to_date(to_integer(c).cast("string"), "yyyyMM")
 
 
+def month_start(whole: Column) -> Column:
+    """First day of a ``yyyyMM`` integer; anything that is not a month becomes null."""
+    month = whole % 100
+    valid = whole.between(100_001, 999_912) & month.between(1, 12)
+    year = F.floor(whole / 100).cast("int")
+    return F.when(valid, F.make_date(year, month.cast("int"), F.lit(1)))
+
+
 def null_if_in(c: Column, values: Iterable) -> Column:
     values = list(values)
     return F.when(~c.isin(values), c) if values else c

@@ -13,7 +13,6 @@ from loanlens.operators.project import (
     drop_listed,
     normalise_names,
     present,
-    target_flag,
 )
 from loanlens.roles import LOAN_ROLES, RoleMap
 
@@ -21,29 +20,38 @@ from loanlens.roles import LOAN_ROLES, RoleMap
 def clean(df: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFrame:
     """Typed, normalised rows.  No row is removed; the target may be absent.
 
-    Every output column is one expression over the raw one, so the whole step is a single
-    projection that also runs on a stream.
+    Two projections, parse then settle: a parsed value is used more than once when it is
+    settled, and Spark keeps them apart so that it is parsed only once.
     """
     df, _ = drop_leaky(normalise_names(df), roles)
     df, _ = drop_listed(df, roles)
-    return df.select(*[_clean_column(c, roles).alias(c) for c in df.columns])
+    parsed = df.select(*[_parse(c, roles).alias(c) for c in df.columns])
+    return parsed.select(*[_settle(c, roles).alias(c) for c in df.columns])
 
 
-def _clean_column(name: str, roles: RoleMap) -> Column:
+def _parse(name: str, roles: RoleMap) -> Column:
     c = F.col(name)
-    if name == roles.target:
-        return target_flag(c)
-    if name in roles.dates:
-        return S.to_month(c)
     if name in roles.categorical:
-        return S.category(c, roles.category_sentinels.get(name, ()), roles.unknown)
-    if name in roles.integer_like:
-        return S.null_if_in(S.to_integer(c), roles.numeric_sentinels.get(name, ()))
-    if name in roles.numeric:
-        return S.null_if_in(S.to_number(c), roles.numeric_sentinels.get(name, ()))
+        return S.category(c)
+    if name == roles.target or (name in roles.numeric and name not in roles.integer_like):
+        return S.to_number(c)
+    if name in roles.dates or name in roles.integer_like:
+        return S.to_integer(c)
     return c
 
 
+def _settle(name: str, roles: RoleMap) -> Column:
+    c = F.col(name)
+    if name == roles.target:
+        return F.coalesce(c.cast("int"), F.lit(0))
+    if name in roles.dates:
+        return S.month_start(c)
+    if name in roles.category_sentinels:
+        hit = c.isin(*roles.category_sentinels[name])
+        return F.when(hit, F.lit(roles.unknown)).otherwise(c)
+    return S.null_if_in(c, roles.numeric_sentinels.get(name, ()))
+
+
 def cleaning_statistics(raw: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFrame:
     """(stat, column, key, value) rows about a raw table and its cleaned form.
 
@@ -59,19 +67,24 @@ def cleaning_statistics(raw: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFram
     def n(stat: str, column: str, condition: Column) -> None:
         counters[(stat, column, "")] = F.count_if(F.coalesce(condition, F.lit(False)))
 
+    needed = present(
+        narrow, [*roles.numeric_sentinels, *roles.category_sentinels, roles.target]
+    )
+
     def src(c: str) -> Column:
+        """The parsed value before sentinels are taken out."""
         return F.col(f"_raw_{c}")
 
     for c in present(narrow, roles.numeric_sentinels):
-        n("sentinel_count", c, S.to_number(src(c)).isin(*roles.numeric_sentinels[c]))
+        n("sentinel_count", c, src(c).isin(*roles.numeric_sentinels[c]))
     for c in present(narrow, roles.dates):
         n("parse_failed_count", c, F.col(c).isNull())
     for c in present(narrow, roles.category_sentinels):
-        n("unknown_count", c, S.category(src(c)).isin(*roles.category_sentinels[c]))
+        n("unknown_count", c, src(c).isin(*roles.category_sentinels[c]))
     if "msa" in cleaned.columns:
         n("missing_count", "msa", F.col("msa").isNull())
     if roles.target in cleaned.columns:
-        n("missing_count", roles.target, S.to_number(src(roles.target)).isNull())
+        n("missing_count", roles.target, src(roles.target).isNull())
     for c, pattern in ((roles.loan_id, roles.id_pattern), (roles.state, roles.state_pattern)):
         if c in cleaned.columns:
             n("invalid_count", c, badly_formatted(F.col(c), pattern))
@@ -88,9 +101,13 @@ def cleaning_statistics(raw: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFram
     counters[("columns_before", "", "")] = F.lit(len(raw.columns))
     counters[("columns_after", "", "")] = F.lit(len(cleaned.columns))
 
-    both = narrow.select(
-        *[_clean_column(c, roles).alias(c) for c in cleaned.columns],
-        *[F.col(c).alias(f"_raw_{c}") for c in narrow.columns],
+    parsed = narrow.select(
+        *[_parse(c, roles).alias(c) for c in cleaned.columns],
+        *[_parse(c, roles).alias(f"_raw_{c}") for c in needed],
+    )
+    both = parsed.select(
+        *[_settle(c, roles).alias(c) for c in cleaned.columns],
+        *[F.col(f"_raw_{c}") for c in needed],
     )
     labels = {f"k{i}": key for i, key in enumerate(counters)}
     row = both.agg(

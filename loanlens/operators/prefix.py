@@ -145,7 +145,9 @@ def exact_order_statistics(
         for c in names:
             middle = (ranks[c][0] - below[c] + 0.5) / size[c]
             wanted[c] = [max(0.0, middle - 0.002), min(1.0, middle + 0.002)]
-        brackets = {c: inner.approxQuantile(c, wanted[c], 0.001) for c in names}
+        points = sorted({p for pair in wanted.values() for p in pair})
+        sketched = dict(zip(names, inner.approxQuantile(names, points, 0.001), strict=True))
+        brackets = {c: [sketched[c][points.index(p)] for p in wanted[c]] for c in names}
         checks = []
         for c in names:
             lo, hi = brackets[c]

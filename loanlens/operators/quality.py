@@ -58,8 +58,22 @@ def quality_checks(
         bad = raw.isNotNull() & ~F.coalesce(good, F.lit(False))
         unexpected[f"u{len(unexpected)}"] = (check, column, bad, critical)
 
+    parsed = [
+        c
+        for c in (
+            roles.target,
+            roles.year,
+            "credit_score",
+            "original_ltv",
+            "original_cltv",
+            "original_interest_rate",
+            *roles.dates,
+        )
+        if c in have
+    ]
+
     def num(c: str) -> Column:
-        return S.to_number(F.col(c))
+        return F.col(f"_n_{c}")
 
     low, high = bounds.credit_score
     score = num("credit_score")
@@ -89,7 +103,8 @@ def quality_checks(
     has_msa = "msa" in have
     if not has_msa:
         rows.append(("not_null", "msa", False, None, None, False))
-    counted = df.agg(
+    numbers = df.withColumns({f"_n_{c}": S.to_number(F.col(c)) for c in parsed})
+    counted = numbers.agg(
         F.count("*").alias("_rows"),
         (F.count("msa") if has_msa else F.lit(0)).cast("bigint").alias("_msa"),
         *[F.count_if(v[2]).alias(k) for k, v in unexpected.items()],

@@ -19,7 +19,7 @@ def ever_default(performance: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFra
     The boolean is combined on the map side, so a loan with very many events costs one row
     per task in the shuffle.
     """
-    code = S.to_number(F.col(roles.event_code)).try_cast("bigint")
+    code = S.to_number(F.col(roles.event_code))
     hit = F.coalesce(F.bool_or(code.isin(*roles.default_codes)), F.lit(False))
     return (
         performance.filter(F.col(roles.loan_id).isNotNull())

@@ -16,6 +16,8 @@ from loanlens.operators.project import flag_at
 from loanlens.operators.target import ever_default, join_target
 from loanlens.plans.views import table, view
 from loanlens.roles import LOAN_ROLES
+from loanlens.session import fresh_path
+from loanlens.sources.delimited import read_years, write_by_year
 
 TRAIN_UNTIL = 1997
 TEST_FROM = 1998
@@ -68,6 +70,17 @@ def applied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_transformers(features(spark, sf_dir), fitted(spark, sf_dir))
 
 
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transformed features written once, by year, and read back.
+
+    Fits, drift and attribution pass over the features many times; none of them repeats the
+    joins and casts behind the table, and year filters prune its folders.
+    """
+    path = fresh_path(spark, "features")
+    write_by_year(applied(spark, sf_dir), path)
+    return read_years(spark, path)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores with outcomes: id, year, probability, label and decision at 0.5."""
     scores = view(spark, sf_dir, "scores")

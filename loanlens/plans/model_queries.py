@@ -15,7 +15,7 @@ from loanlens.operators.models import (
     fit_family,
     training_frame,
 )
-from loanlens.operators.project import align_features, sanitise_numbers
+from loanlens.operators.project import align_features, sanitise_numbers, split_by_year
 from loanlens.operators.scoring import infer, prepare_features, score_rows
 from loanlens.operators.search import evaluate, train_search
 from loanlens.plans import frames as V
@@ -335,26 +335,26 @@ SMALL = {
 }
 
 
-def _training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.applied(spark, sf_dir).filter(F.col("year") <= V.TRAIN_UNTIL).drop("year")
-
-
-def _test_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.applied(spark, sf_dir).filter(F.col("year") >= V.TEST_FROM).drop("year")
+def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split_by_year(rows, V.TRAIN_UNTIL, V.TEST_FROM)
 
 
 def _one(family: str) -> dict:
     return {name: values[0] for name, values in SMALL[family].items()}
 
 
-def _fit(spark: SparkSession, sf_dir: str, family: str) -> FittedModel:
-    train = training_frame(_training_rows(spark, sf_dir), ALL, "default")
-    return fit_family(family, train.persist(), ALL, _one(family))
+def _fit(train: DataFrame, family: str) -> FittedModel:
+    frame = training_frame(train, ALL, "default").persist()
+    try:
+        return fit_family(family, frame, ALL, _one(family))
+    finally:
+        frame.unpersist()
 
 
 def _train_query(family: str):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return infer(_test_rows(spark, sf_dir), _fit(spark, sf_dir, family))
+        train, test = _split(V.stored_features(spark, sf_dir))
+        return infer(test, _fit(train, family))
 
     return build
 
@@ -365,21 +365,23 @@ for _family in SMALL:
 
 @query("q_search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = train_search(_training_rows(spark, sf_dir), n_iter=2, spaces=SMALL)
+    train, _ = _split(V.stored_features(spark, sf_dir))
+    found = train_search(train, n_iter=2, spaces=SMALL)
     return found.results
 
 
 @query("q_evaluate")
 def evaluate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _fit(spark, sf_dir, "logistic_regression")
-    return evaluate(model, _test_rows(spark, sf_dir))[0]
+    train, test = _split(V.stored_features(spark, sf_dir))
+    return evaluate(_fit(train, "logistic_regression"), test)[0]
 
 
 @query("q_model_store")
 def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "model")
-    _fit(spark, sf_dir, "decision_tree").save(spark, path)
     fitted = V.fitted(spark, sf_dir)
+    train = V.features(spark, sf_dir).filter(F.col("year") <= V.TRAIN_UNTIL)
+    _fit(features.apply_transformers(train, fitted), "decision_tree").save(spark, path)
     fitted.save(spark, f"{path}/transformers")
     again = features.Transformers.load(spark, f"{path}/transformers")
     return score_rows(V.origination(spark, sf_dir), FittedModel.load(spark, path), again)
@@ -387,8 +389,8 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("q_importance")
 def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _fit(spark, sf_dir, "decision_tree")
-    phi = attributions(_test_rows(spark, sf_dir), model, ID, sample_size=200, background_size=20)
+    train, test = _split(V.stored_features(spark, sf_dir))
+    phi = attributions(test, _fit(train, "decision_tree"), ID, sample_size=200, background_size=20)
     return importance(phi).orderBy(F.desc("mean_abs_shap"), "feature").limit(15)
 
 
@@ -398,7 +400,7 @@ NUMERIC_WATCHED, CATEGORY_WATCHED = drift.drift_features(ALL)
 
 
 def _drift_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = drift.drift_input(V.applied(spark, sf_dir), ALL, keep=["year"])
+    rows = drift.drift_input(V.stored_features(spark, sf_dir), ALL, keep=["year"])
     return rows.filter(F.col("year") <= V.TRAIN_UNTIL), rows.filter(F.col("year") >= V.TEST_FROM)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators.project import sanitise_names
@@ -22,22 +22,22 @@ def write_feature_table(
 ) -> dict:
     """Write one version of the table and return its name, version and counts.
 
-    The key must be present, non-null and unique.  The row count is observed while writing.
+    The key must be present, non-null and unique; the pass that checks it also counts the rows.
     """
     table = sanitise_names(features)
     if key not in table.columns:
         raise ValueError(f"'{key}' must exist: it is the primary key")
-    keys = table.groupBy(key).agg(F.count("*").alias("n"))
-    bad = keys.filter(F.col(key).isNull() | (F.col("n") > 1)).take(1)
-    if bad:
-        raise ValueError(f"'{key}' must be non-null and unique, but has {bad[0]['n']} x {bad[0][key]}")
-    seen = Observation()
-    observed = table.observe(seen, F.count(F.lit(1)).alias("n_rows"))
-    observed.write.mode("overwrite").parquet(table_path(root, name, version))
+    path = table_path(root, name, version)
+    per_key = table.groupBy(key).agg(F.count("*").alias("n"))
+    repeated = F.col(key).isNull() | (F.col("n") > 1)
+    found = per_key.agg(F.sum("n").alias("rows"), F.count_if(repeated).alias("bad")).first()
+    if found["bad"]:
+        raise ValueError(f"'{key}' must be non-null and unique: {found['bad']} values are not")
+    table.write.mode("overwrite").parquet(path)
     return {
         "feature_group": name,
         "version": int(version),
-        "n_rows": int(seen.get["n_rows"]),
+        "n_rows": int(found["rows"] or 0),
         "n_features": len(table.columns),
     }
 
