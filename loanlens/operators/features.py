@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +92,12 @@ def fit_transformers(
     outside = (roles.target, roles.loan_id, *keep)
     numbers = numeric_columns(train, outside)
     categories = present(train, roles.encoded)
-    return Transformers(exact_medians(train, numbers), class_lists(train, categories))
+    # Several passes follow; the parsed columns are kept, on disk where memory is short.
+    rows = train.select(*numbers, *categories).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Transformers(exact_medians(rows, numbers), class_lists(rows, categories))
+    finally:
+        rows.unpersist()
 
 
 def transformer_table(spark: SparkSession, t: Transformers) -> DataFrame:

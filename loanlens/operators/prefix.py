@@ -55,6 +55,9 @@ def running_sums(
     come from the bucket totals, a table of groups x buckets rows.  With ``following`` the
     next larger value of ``order`` in the group is added as ``next_<order>``.
     """
+    # The join below drops null keys; dropping them first keeps both of its sides on one shuffle.
+    for key in (*groups, bucket):
+        counts = counts.filter(F.col(key).isNotNull())
     totals = counts.groupBy(*groups, bucket).agg(
         *[F.sum(c).alias(f"_t_{c}") for c in counters], F.min(order).alias("_least")
     )

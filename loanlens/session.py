@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -41,9 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="loanlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _test_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _test_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"loanlens-{application}-")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
