@@ -11,7 +11,7 @@ from loanlens.functions.scalars import seeded_key
 from loanlens.operators.bounded import attach
 from loanlens.roles import LOAN_ROLES, RoleMap
 
-PREFIX = 3
+PREFIX = 4
 CHUNK = 100_000
 
 
