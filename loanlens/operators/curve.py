@@ -263,15 +263,16 @@ def labelled_metrics(
     areas = curve.agg(
         F.when(both, average_precision_column()).alias("average_precision"),
         auc_column().alias("roc_auc"),
-    ).withColumn("_one", F.lit(1))
+    )
     counts = joined.agg(
         F.count("*").alias("n_rows"),
         F.avg(F.col("actual_default").cast("double")).alias("actual_default_rate"),
         F.avg(F.col("prediction").cast("double")).alias("predicted_default_rate"),
         *_cells("prediction", "actual_default"),
-    ).withColumn("_one", F.lit(1))
-    metrics = with_label_metrics(counts).drop("fbeta").join(areas, "_one").drop("_one")
-    return metrics, rows
+    )
+    # Two one-row results side by side: stack them and keep the value each column has.
+    both_rows = with_label_metrics(counts).drop("fbeta").unionByName(areas, True)
+    return both_rows.agg(*[F.max(c).alias(c) for c in both_rows.columns]), rows
 
 
 def prediction_summary(predictions: DataFrame) -> DataFrame:
