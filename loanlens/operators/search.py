@@ -29,6 +29,7 @@ from loanlens.operators.models import (
 )
 from loanlens.operators.project import flag_at, numeric_only
 from loanlens.operators.ranking import best_candidates
+from loanlens.session import materialise
 from loanlens.sources.runlog import append_runs, run_rows
 
 METRICS = ("accuracy", "precision", "recall", "f1", "fbeta", "average_precision", "roc_auc")
@@ -75,8 +76,10 @@ def train_search(
     usable, dropped = numeric_only(features_train, keep=[key])
     features = [c for c in usable.columns if c not in (key, target)]
     split = stratified_split(usable, validation_size, key, target, seed)
+    # Every candidate reads the split: written once, it comes back in scan-sized partitions
+    # and outlives lost executors.
+    split = materialise(split, "search-split")
     # Class weights come from the inner train rows alone, as for any other fitted value.
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
     inner = training_frame(split.filter("is_validation = 0"), features, target)
     inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -152,7 +155,6 @@ def train_search(
     if log_path:
         _log_search(spark, log_path, metadata, winners)
     inner.unpersist()
-    split.unpersist()
     model = replace(model, threshold=best["selected_threshold"], metadata=metadata)
     return SearchResult(model, results, metadata)
 
