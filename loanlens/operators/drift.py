@@ -245,9 +245,15 @@ def feature_drift(
 
 
 def dataset_drift(
-    per_feature: DataFrame, share_limit: float = 0.5, reference_label: str = "reference"
+    per_feature: DataFrame,
+    share_limit: float = 0.5,
+    reference_label: str = "reference",
+    excluded: Sequence[str] = LOAN_ROLES.date_features,
 ) -> DataFrame:
-    """Drifted features per year, their share, and whether the share reaches the limit."""
+    """Drifted features per year, their share, and whether the share reaches the limit.
+
+    The label of the reference and the features left out are kept next to the numbers.
+    """
     return (
         per_feature.groupBy("year")
         .agg(
@@ -260,4 +266,5 @@ def dataset_drift(
         .withColumn("share_limit", F.lit(float(share_limit)))
         .withColumn("dataset_drift_detected", F.col("share_drifted") >= share_limit)
         .withColumn("reference_label", F.lit(reference_label))
+        .withColumn("features_excluded", F.lit(",".join(excluded)))
     )

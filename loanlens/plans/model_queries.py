@@ -510,7 +510,9 @@ def drift_p_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         "round(avg(CASE WHEN drift_detected THEN 1 ELSE 0 END), 6) AS share_drifted, "
         "CAST(0.5 AS DOUBLE) AS share_limit, "
         "avg(CASE WHEN drift_detected THEN 1 ELSE 0 END) >= 0.5 AS dataset_drift_detected, "
-        f"'train_1995_1997' AS reference_label FROM ({_BOTH}) t GROUP BY year",
+        "'train_1995_1997' AS reference_label, 'first_payment_date_year,"
+        "first_payment_date_month,maturity_date_year,maturity_date_month,loan_term_months' AS "
+        f"features_excluded FROM ({_BOTH}) t GROUP BY year",
         "applied",
         **_NUMERIC_FRAMES,
         **_CATEGORY_FRAMES,
