@@ -102,6 +102,18 @@ class FittedModel:
             mean = mean + p
         return self.stages.transform(ready).select(*keep, (mean / len(parts)).alias(SCORE))
 
+    @property
+    def label_only(self) -> bool:
+        """True for a family that gives a class but no probability."""
+        return not self.probabilities
+
+    def classify(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Kept columns and the predicted class."""
+        aligned, _ = align_features(df, self.features, keep)
+        ready = sanitise_numbers(aligned, self.features)
+        label = F.col("prediction").cast("int").alias("prediction")
+        return self.stages.transform(ready).select(*keep, label)
+
     def save(self, spark: SparkSession, path: str) -> None:
         self.stages.write().overwrite().save(f"{path}/stages")
         text = json.dumps(

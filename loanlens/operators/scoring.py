@@ -26,10 +26,18 @@ def prepare_features(
 def infer(
     features: DataFrame, model, threshold: float | None = None, key: str = LOAN_ROLES.loan_id
 ) -> DataFrame:
-    """Id, prediction, probability, threshold and family.  A threshold of 0 is a threshold."""
+    """Id, prediction, probability, threshold and family.  A threshold of 0 is a threshold.
+
+    A model without probabilities gives its class and a null probability.
+    """
     keep = [key] if key in features.columns else []
     used = float(model.threshold if threshold is None else threshold)
-    return flag_at(model.score(features, keep), used).select(
+    if getattr(model, "label_only", False):
+        decided = model.classify(features, keep)
+        decided = decided.withColumn(SCORE, F.lit(None).cast("double"))
+    else:
+        decided = flag_at(model.score(features, keep), used)
+    return decided.select(
         *keep,
         "prediction",
         SCORE,
@@ -45,7 +53,12 @@ def score_rows(
     threshold: float | None = None,
     roles: RoleMap = LOAN_ROLES,
 ) -> DataFrame:
-    """Raw origination rows to predictions: a narrow plan without a shuffle, batch or stream."""
+    """Raw origination rows to predictions: a narrow plan without a shuffle, batch or stream.
+
+    Rows that come without an id get a null one.
+    """
+    if roles.loan_id not in [c.strip().lower() for c in raw.columns]:
+        raw = raw.withColumn(roles.loan_id, F.lit(None).cast("string"))
     return infer(
         prepare_features(clean(raw, roles), transformers, roles), model, threshold, roles.loan_id
     )

@@ -6,6 +6,9 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LinearSVC
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from loanlens.operators import drift, features
@@ -290,4 +293,13 @@ def test_stream_equals_batch_and_threshold_zero_counts(spark):
     assert sorted(spark.read.parquet(out).collect()) == sorted(batch.collect())
     zero = score_rows(raw, LOGIT, t, threshold=0.0)
     assert {r["prediction"] for r in zero.collect()} == {1} and zero.first()["threshold"] == 0.0
-    assert ID not in score_rows(raw.drop(ID), LOGIT, t).columns
+    no_id = score_rows(raw.drop(ID), LOGIT, t)
+    assert no_id.columns == batch.columns and {r[ID] for r in no_id.collect()} == {None}
+
+
+def test_label_only_model_has_null_probability(points):
+    train = training_frame(points, NAMES, "default")
+    stages = Pipeline(stages=[VectorAssembler(inputCols=NAMES, outputCol="features"), LinearSVC(maxIter=10)])
+    model = FittedModel("linear_svc", NAMES, stages.fit(train), [])
+    rows = infer(points, model).collect()
+    assert {r[SCORE] for r in rows} == {None} and {r["prediction"] for r in rows} == {0, 1}
