@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query names and the modules that hold them as ``query``, with ``SQL`` where SQL can speak.
 MODULES = {
+    "op10_imatch": "imatch",
+    "op2_quality_rules": "quality_rules",
     "op5_language_id": "language",
 }
 
