@@ -133,7 +133,7 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> DataF
         {"place": F.row_number().over(order), "next_text": F.lead("text").over(order)}
     ).withColumn("edited", edited)
     plain = lambda t, own: F.when(
-        F.size(own) > 0, F.sha1(F.array_join(F.array_sort(own), " ").cast("binary"))
+        F.size(own) > 0, F.sha1(F.array_join(F.sort_array(own), " ").cast("binary"))
     ).otherwise(F.sha2(t.cast("binary"), 224))
     own = placed.select(
         "bucket", "place", "guest", "doc_id", n_chars.cast("long").alias("n_chars"),
@@ -155,7 +155,7 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> DataF
         .select(*keys, "x.side", "x.term")
         .join(F.broadcast(lexicon(docs, n, band)), "term")
     )
-    found = hits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("side", "term", "mask"))).alias("x"))
+    found = hits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("side", "term", "mask"))).alias("x"))
     both = found.select(
         *keys,
         _fingerprint(F.filter("x", lambda t: t["side"] == 0), F.col("plain")).alias("fingerprint"),

@@ -71,7 +71,7 @@ def repeated_words(hashes: Column) -> Column:
         ),
     )
     return F.aggregate(
-        F.array_sort(F.filter(places, lambda p: p.isNotNull())),
+        F.sort_array(F.filter(places, lambda p: p.isNotNull())),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(-WINDOW).alias("last")),
         lambda a, p: F.struct(
             (a["n"] + F.least(F.lit(WINDOW), p - a["last"])).cast("long").alias("n"), p.alias("last")
