@@ -105,15 +105,14 @@ def shingle_hashes(
     first = np.arange(total, dtype=np.int64) + np.repeat(bounds[:-1] - starts[:-1], runs)
     padded = np.concatenate([hashes, np.zeros(size, np.uint64)])
     out = np.zeros(total, np.uint64)
-    factor = np.uint64(1)
+    factors = np.full(size, _WORD_MULTIPLIER, dtype=np.uint64)
+    factors[0] = 1
+    np.multiply.accumulate(factors, out=factors)
     for j in range(size):
-        out += padded[first + j] * factor
-        factor = factor * _WORD_MULTIPLIER
+        out += padded[first + j] * factors[j]
     short = (counts > 0) & (counts < size)
     for row in np.flatnonzero(short):
         own = hashes[bounds[row] : bounds[row + 1]]
-        value = np.uint64(int(counts[row]))
-        for h in own:
-            value = value * _WORD_MULTIPLIER + h
-        out[starts[row]] = value
+        # the word count keeps these apart from full runs
+        out[starts[row]] = (own * factors[: len(own)]).sum() ^ np.uint64(int(counts[row]) << 56)
     return mix(out), starts
