@@ -31,7 +31,6 @@ SEGMENTS = 256
 ROWS_PER_BUCKET = 2_000
 MAX_BUCKETS_PER_SEGMENT = 64
 _PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_NONE = "-" * 8
 
 
 def terms(text: Column) -> Column:
@@ -40,18 +39,20 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, n_docs: int, band: tuple[float, float] = IDF_BAND) -> DataFrame:
-    """(term, mask): terms within the band and the subsets that keep them; the empty term, in no
-    subset, stands for every document."""
+    """(term, part): the terms within the band, once for each subset that keeps them; the empty
+    term, in part -1, stands for every document."""
     spark = docs.sparkSession
     df = docs.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(F.lit(float(max(n_docs, 1))) / F.col("df"))
-    mask = F.lit(0).cast("long")
-    for k in range(PARTS):
-        keeps = F.pmod(F.xxhash64("term", F.lit(k)), F.lit(RARITIES[k % len(RARITIES)])) == 0
-        mask = mask + F.when(keeps, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long"))
-    inside = df.filter((F.col("df") > 1) & idf.between(*band)).select("term", mask.alias("mask"))
-    every = spark.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("mask"))
-    return inside.unionByName(every)
+    parts = spark.range(PARTS).select(
+        F.col("id").cast("int").alias("part"),
+        F.get(F.array(*map(F.lit, RARITIES)), (F.col("id") % len(RARITIES)).cast("int")).alias("rarity"),
+    )
+    inside = df.filter((F.col("df") > 1) & idf.between(*band)).select("term")
+    kept = inside.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).join(F.broadcast(parts), "part")
+    kept = kept.filter(F.pmod(F.xxhash64("term", "part"), F.col("rarity")) == 0).select("term", "part")
+    every = spark.range(1).select(F.lit("").alias("term"), F.lit(-1).alias("part"))
+    return kept.unionByName(every)
 
 
 def with_buckets(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -89,31 +90,12 @@ def with_buckets(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     return bucketed, guests, s["n"]
 
 
-def _fingerprint(found: Column, plain: Column) -> Column:
-    """Of sorted (term, mask) entries: PARTS hashes, or the hash of all terms where none is kept."""
-    parts = F.transform(
-        F.sequence(F.lit(0), F.lit(PARTS - 1)),
-        lambda k: F.array_join(
-            F.transform(
-                F.filter(found, lambda x: F.call_function("getbit", x["mask"], k) == 1), lambda x: x["term"]
-            ),
-            " ",
-        ),
-    )
-    hashed = F.transform(
-        parts, lambda x: F.when(x == "", F.lit(_NONE)).otherwise(F.substring(F.sha1(x.cast("binary")), 1, 8))
-    )
-    return F.when(F.exists(hashed, lambda x: x != _NONE), F.array_join(hashed, "")).otherwise(plain)
-
-
 def likeness(a: Column, b: Column) -> Column:
-    """1 for equal fingerprints, else the share of equal parts among the parts in either."""
-    part = lambda x, k: F.substring(x, k * 8 + 1, F.lit(8))
-    every = F.sequence(F.lit(0), F.lit(PARTS - 1))
-    filled = F.filter(every, lambda k: (part(a, k) != _NONE) | (part(b, k) != _NONE))
-    same = F.size(F.filter(filled, lambda k: part(a, k) == part(b, k)))
-    whole = (F.length(a) == 8 * PARTS) & (F.length(b) == 8 * PARTS)
-    return F.when(a == b, 1.0).when(whole, same / F.size(filled)).otherwise(0.0)
+    """1 for equal fingerprints, else the share of equal parts among the parts that either has."""
+    one, other = F.split(a, ","), F.split(b, ",")
+    names = lambda x: F.transform(x, lambda part: F.substring(part, 1, 2))
+    either = F.size(F.array_union(names(one), names(other)))
+    return F.when(a == b, 1.0).otherwise(F.size(F.array_intersect(one, other)) / either)
 
 
 def fingerprints(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> DataFrame:
@@ -142,25 +124,32 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = IDF_BAND) -> DataF
     ).withColumns(
         {"plain": plain(text, F.col("a")), "edited_plain": plain(F.col("edited"), F.col("b"))}
     )
+    info = F.struct("doc_id", "n_chars", "edited_sha256", "plain", "edited_plain")
     tagged = F.flatten(
         F.array(
-            F.array(F.struct(F.lit(0).alias("side"), F.lit("").alias("term"))),
-            F.transform("a", lambda x: F.struct(F.lit(0).alias("side"), x.alias("term"))),
-            F.transform("b", lambda x: F.struct(F.lit(1).alias("side"), x.alias("term"))),
+            F.array(F.struct(F.lit(0).alias("side"), F.lit("").alias("term"), info.alias("info"))),
+            F.transform("a", lambda x: F.struct(F.lit(0).alias("side"), x.alias("term"), F.lit(None).alias("info"))),
+            F.transform("b", lambda x: F.struct(F.lit(1).alias("side"), x.alias("term"), F.lit(None).alias("info"))),
         )
     )
-    keys = ["bucket", "place", "guest", "doc_id", "n_chars", "edited_sha256", "plain", "edited_plain"]
-    hits = (
-        own.select(*keys, F.explode(tagged).alias("x"))
-        .select(*keys, "x.side", "x.term")
-        .join(F.broadcast(lexicon(docs, n, band)), "term")
+    keys = ["bucket", "place", "guest"]
+    hits = own.select(*keys, F.explode(tagged).alias("x")).select(*keys, "x.side", "x.term", "x.info")
+    hits = hits.join(F.broadcast(lexicon(docs, n, band)), "term")
+    hashed = F.substring(F.sha1(F.array_join(F.sort_array(F.collect_list("term")), " ").cast("binary")), 1, 8)
+    parts_of = hits.groupBy(*keys, "side", "part").agg(
+        hashed.alias("hash"), F.first("info", ignorenulls=True).alias("info")
+    ).withColumn("entry", F.concat(F.lpad(F.col("part").cast("string"), 2, "0"), F.lit(":"), F.col("hash")))
+    of = lambda side: F.array_join(
+        F.sort_array(F.collect_list(F.when((F.col("side") == side) & (F.col("part") >= 0), F.col("entry")))), ","
     )
-    found = hits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("side", "term", "mask"))).alias("x"))
-    both = found.select(
-        *keys,
-        _fingerprint(F.filter("x", lambda t: t["side"] == 0), F.col("plain")).alias("fingerprint"),
-        _fingerprint(F.filter("x", lambda t: t["side"] == 1), F.col("edited_plain")).alias("edited_fingerprint"),
+    found = parts_of.groupBy(*keys).agg(
+        of(0).alias("a"), of(1).alias("b"), F.first("info", ignorenulls=True).alias("info")
     )
+    both = found.select(
+        *keys, "info.doc_id", "info.n_chars", "info.edited_sha256",
+        F.when(F.col("a") != "", F.col("a")).otherwise(F.col("info.plain")).alias("fingerprint"),
+        F.when(F.col("b") != "", F.col("b")).otherwise(F.col("info.edited_plain")).alias("edited_fingerprint"),
+    )
     following = Window.partitionBy("bucket").orderBy("place")
     return (
         both.withColumn("next_fingerprint", F.lead("fingerprint").over(following))

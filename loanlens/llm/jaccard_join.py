@@ -7,9 +7,9 @@ only groups go through the exchange. Prefix shingles of a single group end there
 candidate pairs, filtered by size and by the places of the shingle, which are then expanded to
 members and verified on whole sets.
 
-A prefix shingle shared by many groups does not give all their pairs: each member is verified
-against one pivot first, and after that only members of different components are. This loses no
-link between components, and repeats while it saves work.
+A prefix shingle shared by more than SMALL groups does not give all their pairs: each of them is
+verified against one pivot first, and after that only members of different components are. This
+loses no link between components, and repeats while it saves work.
 
 Defined results: null text and text without words have an empty set, no links and are their own
 component; texts with equal sets are one class, whatever their number; repeated ids are one node
@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,8 +40,10 @@ SHARE = (4, 5)
 SKETCH = 1 << 20
 SKETCH_PARTS = 16
 _STEP = np.log(1.08)
-#: Pairs between components are written out once they are at most this many times the rows of
-#: shared shingles, or after so many pivot rounds.
+#: Groups that share a shingle are paired outright up to this number.
+SMALL = 8
+#: Pairs between components are written out once they are at most this many times the rows that
+#: still share a shingle across components, or after so many pivot rounds.
 PAIRS_PER_ROW = 8
 PIVOT_ROUNDS = 5
 _TOKEN_BITS = 48
@@ -105,8 +108,8 @@ def prefix(own: np.ndarray, level: np.ndarray) -> np.ndarray:
     return own[np.argsort(rank, kind="stable")[:keep]]
 
 
-_PACKED = "shard int, doc_id long, n long, set1 long, set2 long, gid long, tokens binary, gids binary, places binary"
-_FLAT = "doc_id long, n long, set1 long, set2 long, gid long, token long, place int"
+_PACKED = "shard int, doc_id long, n long, set1 long, set2 long, gid long, tokens binary, gids binary, sizes binary, places binary"
+_FLAT = "doc_id long, n long, set1 long, set2 long, gid long, token long, place int, other long"
 
 
 def _pack(docs: DataFrame, level: np.ndarray, shards: int) -> DataFrame:
@@ -115,7 +118,7 @@ def _pack(docs: DataFrame, level: np.ndarray, shards: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _PACKED.split(", ")]
-        kinds = [pa.int32(), *[pa.int64()] * 5, *[pa.binary()] * 3]
+        kinds = [pa.int32(), *[pa.int64()] * 5, *[pa.binary()] * 4]
 
         def rows(columns: list) -> pa.RecordBatch:
             n = len(columns[0])
@@ -125,7 +128,7 @@ def _pack(docs: DataFrame, level: np.ndarray, shards: int) -> DataFrame:
             )
 
         for batch in chunks(batches):
-            documents, tokens, gids, places = [], [], [], []
+            documents, tokens, gids, sizes, places = [], [], [], [], []
             seen: set[int] = set()
             for own in shingle_sets(*byte_view(batch.column("text"))):
                 n = len(own)
@@ -140,25 +143,26 @@ def _pack(docs: DataFrame, level: np.ndarray, shards: int) -> DataFrame:
                     seen.add(gid)
                     tokens.append(first >> np.uint64(64 - _TOKEN_BITS))
                     gids.append(np.full(len(first), gid, dtype=np.int64))
+                    sizes.append(np.full(len(first), n, dtype="<u4"))
                     places.append(np.minimum(np.arange(len(first)), 65535).astype("<u2"))
             n, set1, set2, gid = zip(*documents, strict=True)
             ids = batch.column("doc_id")
             spread = [i % shards for i in range(len(n))]
-            yield rows([spread, ids, n, set1, set2, gid, None, None, None])
+            yield rows([spread, ids, n, set1, set2, gid, None, None, None, None])
             if not tokens:
                 continue
-            t, g, p = np.concatenate(tokens), np.concatenate(gids), np.concatenate(places)
+            t, *rest = (np.concatenate(x) for x in (tokens, gids, sizes, places))
             shard = (mix(t) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
-            t, g, p = t[order], g[order], p[order]
+            t, *rest = (x[order] for x in (t, *rest))
             at = np.flatnonzero(np.diff(shard[order], prepend=-1))
             ends = [*at[1:].tolist(), len(t)]
             packed = [
-                (int(shard[order[a]]), _six(t[a:b]), g[a:b].tobytes(), p[a:b].tobytes())
+                (int(shard[order[a]]), _six(t[a:b]), *(x[a:b].tobytes() for x in rest))
                 for a, b in zip(at.tolist(), ends, strict=True)
             ]
-            s, t, g, p = zip(*packed, strict=True)
-            yield rows([s, None, None, None, None, None, t, g, p])
+            s, *columns = zip(*packed, strict=True)
+            yield rows([s, None, None, None, None, None, *columns])
 
     return docs.mapInArrow(run, _PACKED)
 
@@ -175,48 +179,81 @@ def _from_six(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _shared_tokens(packed: DataFrame, shards: int) -> DataFrame:
-    """The document rows, and a row for every group of each shingle that two groups or more have."""
+def _group_pairs(t: np.ndarray, g: np.ndarray, n: np.ndarray, p: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """From (shingle, group, size, place), sorted by shingle: the possible pairs of groups of each
+    shingle, and the rows of shingles shared by more than SMALL groups."""
+    start = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
+    k = np.diff(np.append(start, len(t)))
+    pairs = []
+    for j in range(1, SMALL):  # the pairs that are j rows apart
+        at = np.arange(len(t) - j)
+        pairs.append(at[(t[j:] == t[:-j]) & (np.repeat(k, k)[:-j] <= SMALL)] + np.array([[0], [j]]))
+    for a, size in zip(start[k > SMALL].tolist(), k[k > SMALL].tolist(), strict=True):
+        pivot = a + int(np.argmin(mix(g[a : a + size].view(np.uint64))))
+        others = np.arange(a, a + size)
+        pairs.append(np.stack([np.full(size, pivot), others])[:, others != pivot])
+    x, y = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    low, high = np.minimum(n[x], n[y]).astype(np.int64), np.maximum(n[x], n[y]).astype(np.int64)
+    most = np.minimum(n[x].astype(np.int64) - p[x], n[y].astype(np.int64) - p[y])
+    fits = (SHARE[1] * low >= SHARE[0] * high) & (most * (SHARE[0] + SHARE[1]) >= (low + high) * SHARE[0])
+    x, y = g[x[fits]], g[y[fits]]
+    found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    m, empty = found.shape[1], lambda m, k: pa.nulls(m, k)
+    yield pa.RecordBatch.from_arrays(
+        [*(empty(m, pa.int64()) for _ in range(4)), pa.array(found[0]), empty(m, pa.int64()), empty(m, pa.int32()), pa.array(found[1])],
+        names=_names(_FLAT),
+    )
+    many = np.repeat(k, k) > SMALL
+    m = int(many.sum())
+    yield pa.RecordBatch.from_arrays(
+        [empty(m, pa.int64()), pa.array(n[many].astype(np.int64)), empty(m, pa.int64()), empty(m, pa.int64()), pa.array(g[many]),
+         pa.array(t[many].view(np.int64)), pa.array(p[many].astype(np.int32)), empty(m, pa.int64())],
+        names=_names(_FLAT),
+    )
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _pair_up(packed: DataFrame) -> DataFrame:
+    """The document rows, the pairs of groups that share a prefix shingle, and the groups of
+    shingles that many share."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in _FLAT.split(", ")]
-        kinds = [pa.int64()] * 6 + [pa.int32()]
+        names = _names(_FLAT)
 
         def flush(held: list) -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            t, g, p = (np.concatenate(x) for x in zip(*held, strict=True))
+            t, g, n, p = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.lexsort((g, t))
-            t, g, p = t[order], g[order], p[order]
-            new = np.append(True, (np.diff(t.view(np.int64)) != 0) | (np.diff(g) != 0))
-            t, g, p = t[new], g[new], p[new]
+            t, g, n, p = (x[order] for x in (t, g, n, p))
+            new = np.append(True, (t[1:] != t[:-1]) | (g[1:] != g[:-1]))
+            t, g, n, p = (x[new] for x in (t, g, n, p))
             again = np.append(False, t[1:] == t[:-1])
             kept = again | np.append(again[1:], False)
-            n = int(kept.sum())
-            if n:
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.nulls(n, pa.int64()) for _ in range(4)), pa.array(g[kept]), pa.array(t[kept].view(np.int64)), pa.array(p[kept].astype(np.int32))],
-                    names=names,
-                )
+            if kept.any():
+                yield from _group_pairs(t[kept], g[kept], n[kept], p[kept].astype(np.int64))
 
         held, at = [], None
         for batch in batches:
-            documents = batch.filter(pa.compute.is_valid(batch.column("n")))
+            documents = batch.filter(pc.is_valid(batch.column("n")))
             if documents.num_rows:
                 n = documents.num_rows
-                columns = [documents.column(c) for c in names[:5]] + [pa.nulls(n, k) for k in kinds[5:]]
+                columns = [documents.column(c) for c in names[:5]]
+                columns += [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-            rest = batch.filter(pa.compute.is_valid(batch.column("tokens")))
-            for shard, t, g, p in zip(*(rest.column(c).to_pylist() for c in ("shard", "tokens", "gids", "places")), strict=True):
+            rest = batch.filter(pc.is_valid(batch.column("tokens")))
+            for shard, t, *others in zip(*(rest.column(c).to_pylist() for c in ("shard", "tokens", "gids", "sizes", "places")), strict=True):
                 if shard != at:
                     yield from flush(held)
                     held, at = [], shard
-                held.append((_from_six(t), np.frombuffer(g, np.int64), np.frombuffer(p, "<u2")))
+                held.append((_from_six(t), *(np.frombuffer(x, k) for x, k in zip(others, ("<i8", "<u4", "<u2"), strict=True))))
         yield from flush(held)
 
     width = shuffle_width(packed.sparkSession)
-    dealt = packed.repartition(width, "shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(run, _FLAT)
+    return packed.repartition(width, "shard").sortWithinPartitions("shard").mapInArrow(run, _FLAT)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -284,65 +321,63 @@ def _pairs(x: str, y: str) -> list[Column]:
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, n, cls) and components (node, component) of the linked classes; a class is
     named by the smallest id among its texts."""
-    spark = docs.sparkSession
-    shards = 4 * shuffle_width(spark)
-    packed = _pack(docs, _sketch(docs), shards)
-    flat = materialise(_shared_tokens(packed, shards), "prefixes")
-    rows = flat.filter(F.col("n").isNotNull())
+    shards = 4 * shuffle_width(docs.sparkSession)
+    flat = materialise(_pair_up(_pack(docs, _sketch(docs), shards)), "prefixes")
+    rows = flat.filter(F.col("n").isNotNull() & F.col("token").isNull())
     classes = materialise(
         rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
         .groupBy("set1", "set2", "n", "gid").agg(F.min("doc_id").alias("cls")), "classes",
     )
     of_class = classes.select("set1", "set2", "n", "cls")
     members = rows.select("doc_id", "n", "set1", "set2").join(of_class, ["set1", "set2", "n"], "left").select("doc_id", "n", "cls")
-    shared = flat.filter(F.col("token").isNotNull()).select("gid", "token", "place").distinct()
-    by_token = shared.join(classes.select("gid", "n", "cls"), "gid").select(F.col("token").alias("key"), "cls", "n", "place")
-    # members of one group share the whole prefix
-    within = classes.join(
-        classes.groupBy("gid").agg(F.count("*").alias("k")).filter("k > 1").select("gid"), "gid"
-    ).select((F.col("gid").bitwiseOR(F.lit(-(1 << 63)))).alias("key"), "cls", "n", F.lit(0).alias("place"))
-    keyed = materialise(by_token.unionByName(within), "keyed")
-    sets = materialise(_sets(docs, keyed.select("cls").distinct()), "sets")
-    n_rows = keyed.count()
-    links: DataFrame | None = None
-    done: DataFrame | None = None
-    found: DataFrame | None = None
+    groups = classes.groupBy("gid").agg(F.count("*").alias("k"), F.min("cls").alias("cls"), F.min("n").alias("n"))
+    group_pairs = flat.filter(F.col("other").isNotNull()).select("gid", "other").distinct()
+    one, two = groups.select("gid", F.col("cls").alias("x"), F.col("k").alias("kx")), groups.select(F.col("gid").alias("other"), F.col("cls").alias("y"), F.col("k").alias("ky"))
+    paired = materialise(group_pairs.join(one, "gid").join(two, "other"), "pairs")
+    single = (F.col("kx") == 1) & (F.col("ky") == 1)
+    pairs = paired.filter(single).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    # groups of several members: all members of the pair, and of each group, share a key
+    wide = paired.filter(~single)
+    own = groups.filter("k > 1").select("gid", F.xxhash64("gid", F.lit(0)).alias("key"))
+    wide = wide.select(F.col("gid"), F.xxhash64("gid", "other").alias("key")).unionByName(
+        wide.select(F.col("other").alias("gid"), F.xxhash64("gid", "other").alias("key"))
+    )
+    shared = flat.filter(F.col("token").isNotNull()).select("gid", F.col("token").alias("key"), "place")
+    shared = shared.unionByName(own.unionByName(wide).withColumn("place", F.lit(0)))
+    keyed = materialise(shared.join(classes.select("gid", "n", "cls"), "gid").select("key", "cls", "n", "place"), "keyed")
+    wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(keyed.select("cls")).distinct()
+    sets = materialise(_sets(docs, wanted), "sets")
+    links = materialise(_verify(pairs, sets), "verified")
+    found, done = components(links), pairs
     for turn in range(PIVOT_ROUNDS + 1):
-        now = keyed.withColumn("component", F.col("cls"))
-        if found is not None:
-            now = keyed.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-                "component", F.coalesce("component", "cls")
-            )
+        labels = found.withColumnRenamed("node", "cls")
+        now = keyed.select("key", "cls", "n", "place").join(labels, "cls", "left")
+        now = now.withColumn("component", F.coalesce("component", "cls"))
         counts = now.groupBy("key", "component").agg(F.count("*").alias("k"))
-        largest = counts.groupBy("key").agg(
+        mixed = counts.groupBy("key").agg(
             F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("parts")
-        ).filter("parts > 1").select("key", F.col("top.component").alias("main"), (F.col("all") - F.col("top.k")).alias("rest"), "all")
-        open_keys = materialise(now.join(largest, "key"), "open")
-        work = open_keys.filter(F.col("component") != F.col("main")).agg(F.sum("all")).first()[0] or 0
-        if not work:
+        )
+        mixed = mixed.filter("parts > 1").select("key", F.col("top.component").alias("main"), "all")
+        # keys within one component never open again
+        keyed = materialise(now.join(mixed, "key"), "open")
+        left = keyed.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("work"), F.count("*").alias("rows")).first()
+        if not left["work"]:
             break
-        last = work <= PAIRS_PER_ROW * n_rows or turn == PIVOT_ROUNDS
+        last = left["work"] <= PAIRS_PER_ROW * left["rows"] or turn == PIVOT_ROUNDS
         if last:
-            rest = open_keys.filter(F.col("component") != F.col("main")).alias("x")
-            other = open_keys.alias("y")
+            chosen = keyed.filter(F.col("component") != F.col("main"))
         else:
             order = F.struct(F.xxhash64("cls", F.lit(turn)), "cls")
-            pivot = open_keys.groupBy("key").agg(F.min_by(F.struct("cls", "n", "place", "component"), order).alias("p"))
-            rest = pivot.select("key", "p.*").alias("x")
-            other = open_keys.alias("y")
-        pairs = rest.join(other, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _possible("x", "y"))
-        pairs = pairs.select(*_pairs("x", "y")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        new = materialise(_verify(pairs, sets), "verified")
-        links = new if links is None else links.unionByName(new)
+            pivot = keyed.groupBy("key").agg(F.min_by(F.struct("cls", "n", "place", "component"), order).alias("p"))
+            chosen = pivot.select("key", "p.*")
+        on = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
+        new = chosen.alias("x").join(keyed.alias("y"), on & _possible("x", "y")).select(*_pairs("x", "y")).distinct()
+        new = materialise(new.join(done, ["a", "b"], "left_anti"), "pairs")
+        done = done.unionByName(new)
+        links = links.unionByName(materialise(_verify(new, sets), "verified"))
         found = components(links)
         if last:
             break
-    if found is None:
-        found = spark.createDataFrame([], "node long, component long")
     return members, found
 
 

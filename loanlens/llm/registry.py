@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Query names and the modules that hold them as ``query``, with ``SQL`` where SQL can speak.
 MODULES = {
+    "op1_subwords": "subwords",
     "op3_ngram_model": "ngram_model",
     "op6_suffix_dedup": "suffix_dedup",
     "op8_jaccard_join": "jaccard_join",
