@@ -24,8 +24,15 @@ def to_number(c: Column) -> Column:
 
 
 def to_integer(c: Column) -> Column:
-    """Text or number to a nullable bigint, ``200503.0`` included; fractions become null."""
-    return F.regexp_extract(c.cast("string"), WHOLE, 1).try_cast("bigint")
+    """Text or number to a nullable bigint, ``200503.0`` and ``1e2`` included; fractions become null.
+
+    Whole digits are read as they stand, so that large ids keep all of them; other forms, such as
+    the one in which a large double is printed, go through a double.
+    """
+    number = to_number(c)
+    exact = (number == F.floor(number)) & (F.abs(number) < 2.0**63)
+    plain = F.regexp_extract(c.cast("string"), WHOLE, 1).try_cast("bigint")
+    return F.coalesce(plain, F.when(exact, number.try_cast("bigint")))
 
 
 def to_month(c: Column) -> Column:

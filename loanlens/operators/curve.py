@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.scalars import ratio
-from loanlens.operators.prefix import place_in_buckets, quantile_edges, running_sums
+from loanlens.operators.prefix import ROWS_PER_BUCKET, running_sums
 
 STRATEGIES = {"maximize_f1": 1.0, "maximize_f2": 2.0, "maximize_fbeta": None, "fixed": None}
 # Right-closed probability bins of the calibration table, first one closed.
@@ -20,24 +20,21 @@ def score_curve(
     score: str = "probability_default",
     label: str = "actual_default",
     groups: Sequence[str] = (),
-    edges: Sequence[float] | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """One row per distinct score: cumulative true and false positives from the top.
 
-    Equal scores are one point.  Columns: groups, score, positives, negatives (at this
+    Equal scores are one point; a null group is a group.  The counts per score are written once.  Columns: groups, score, positives, negatives (at this
     score), tp, fp (at or above it), n_pos, n_neg (in the group), precision, recall.
     """
     rows = scored.filter(
         F.col(score).isNotNull() & F.col(label).isNotNull()
     ).select(*groups, F.col(score).cast("double").alias("score"), F.col(label).cast("int").alias("y"))
-    if edges is None:
-        edges = quantile_edges(rows, ["score"])["score"]
     counts = rows.groupBy(*groups, "score").agg(
         F.sum("y").alias("positives"), F.sum(1 - F.col("y")).alias("negatives")
     )
-    placed = place_in_buckets(counts, {"score": sorted(set(edges))})
     summed = running_sums(
-        placed, groups, "score", "_bucket_score", ["positives", "negatives"], descending=True
+        counts, groups, "score", ["positives", "negatives"], True, rows_per_bucket=rows_per_bucket
     )
     tp, fp = F.col("upto_positives"), F.col("upto_negatives")
     return summed.select(
@@ -118,14 +115,15 @@ def threshold_metrics(
     The maximising strategies look at every distinct score; on ties the lowest score wins.
     """
     if strategy not in STRATEGIES:
-        raise ValueError(f"Unknown threshold_strategy: {strategy}")
-    beta = STRATEGIES[strategy] or beta
+        raise ValueError(f"no threshold strategy named {strategy!r}, only {sorted(STRATEGIES)}")
+    # the strategy's beta chooses the threshold; reported values keep the parameter
+    sought = STRATEGIES[strategy] or beta
     score, point = F.col("score"), F.struct("score", "tp", "fp")
     if strategy == "fixed":
         chosen = F.min_by(point, F.when(score >= fallback, score))
         threshold = F.lit(float(fallback))
     else:
-        chosen = F.max_by(point, F.struct(fbeta_column(beta), -score))
+        chosen = F.max_by(point, F.struct(fbeta_column(sought), -score))
         threshold = F.coalesce(F.col("_at.score"), F.lit(float(fallback)))
     summary = curve.groupBy(*groups).agg(
         chosen.alias("_at"),
@@ -164,7 +162,7 @@ def metrics_by_group(
     actual: str = "actual_default",
 ) -> DataFrame:
     """Size, default rate, AUC and label metrics per group; single-class groups are left out."""
-    rows = predictions.filter(F.col(group).isNotNull())
+    rows = predictions
     curve = score_curve(rows, score, actual, [group])
     ranked = curve.groupBy(group).agg(auc_column().alias("roc_auc"))
     counts = rows.groupBy(group).agg(
@@ -173,7 +171,8 @@ def metrics_by_group(
         *_cells(prediction, actual),
     )
     measured = with_label_metrics(counts)
-    return measured.join(ranked.filter("roc_auc IS NOT NULL"), group).select(
+    ranked = ranked.filter("roc_auc IS NOT NULL").withColumnRenamed(group, "_ranked")
+    return measured.join(ranked, F.col(group).eqNullSafe(F.col("_ranked"))).select(
         group, "n_loans", "default_rate", "roc_auc", "recall", "precision", "f1"
     )
 
@@ -235,7 +234,7 @@ def metric_gap(validation: DataFrame, test: DataFrame, names: Sequence[str]) ->
 def require_two_classes(df: DataFrame, target: str, name: str) -> None:
     seen = df.agg(F.count_distinct(target)).first()[0]
     if seen < 2:
-        raise ValueError(f"{name} must contain both classes 0 and 1.")
+        raise ValueError(f"{name}: rows of one class only, two are needed")
 
 
 def labelled_metrics(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions.scalars import ratio
-from loanlens.operators.prefix import place_in_buckets, quantile_edges, running_sums
+from loanlens.operators.prefix import running_sums
 from loanlens.operators.project import align_features, sanitise_numbers
 from loanlens.roles import LOAN_ROLES, RoleMap
 
@@ -63,24 +63,18 @@ def numeric_drift(
     is read once.  Years without rows give no result.
     """
     pooled = _pooled(reference, current, columns, year)
-    placed = place_in_buckets(pooled, quantile_edges(pooled, columns))
     items = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(c).cast("double").alias("value"),
-            F.col(f"_bucket_{c}").alias("bucket"),
-        )
-        for c in columns
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns
     ]
     counts = (
-        placed.select("_year", F.explode(F.array(*items)).alias("i"))
+        pooled.select("_year", F.explode(F.array(*items)).alias("i"))
         .select("_year", "i.*")
         .filter(F.col("value").isNotNull())
-        .groupBy("feature", "bucket", "value")
+        .groupBy("feature", "value")
         .agg(*_counters(years))
     )
     names = ["r", *[f"y{y}" for y in years]]
-    cdf = running_sums(counts, ["feature"], "value", "bucket", names, following=True)
+    cdf = running_sums(counts, ["feature"], "value", names, following=True)
     step = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     f_ref = ratio(F.col("upto_r"), F.col("all_r"))
     results = []

@@ -335,7 +335,7 @@ def _thresholds(spark: SparkSession, sf_dir: str, strategy: str, **kw) -> DataFr
     return rounded(curve.threshold_metrics(rows, strategy, groups=["year"], **kw))
 
 
-@query("q_threshold_f1", _threshold_sql(1, 1.0, _best(1.0)))
+@query("q_threshold_f1", _threshold_sql(4, 2.0, _best(1.0)))
 def threshold_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _thresholds(spark, sf_dir, "maximize_f1")
 

@@ -79,7 +79,7 @@ def test_areas_and_thresholds(spark, sample):
     assert fixed["recall"] == pytest.approx(y[s >= 0.505].sum() / y.sum())
     floor = curve.recall_floor_threshold(c, 0.7).first()[0]
     assert floor == max(t for t, tp, _ in brute_points(y, s) if tp / y.sum() >= 0.7)
-    with pytest.raises(ValueError, match="Unknown threshold_strategy"):
+    with pytest.raises(ValueError, match="no threshold strategy"):
         curve.threshold_metrics(c, "best")
 
 
@@ -126,8 +126,7 @@ def test_running_sums_across_buckets(spark):
     values = sorted({round(float(v), 3) for v in rng.normal(size=2000)})
     rows = [("g", v, int(rng.integers(0, 9))) for v in values] + [("h", 1.5, 4)]
     df = spark.createDataFrame(rows, "g string, v double, n long")
-    placed = prefix.place_in_buckets(df, prefix.quantile_edges(df, ["v"], 37))
-    out = prefix.running_sums(placed, ["g"], "v", "_bucket_v", ["n"], following=True)
+    out = prefix.running_sums(df, ["g"], "v", ["n"], following=True, rows_per_bucket=50)
     got = {(r["g"], r["v"]): r for r in out.collect()}
     total, expected = 0, {}
     for i, (_, v, n) in enumerate(rows[:-1]):
@@ -148,7 +147,7 @@ def test_exact_medians_with_hot_values_and_nulls(spark, size):
     rows = [(float(a), float(b), float(c), None) for a, b, c in zip(wide, hot, two, strict=True)]
     df = spark.createDataFrame(rows, "wide double, hot double, two double, none double").repartition(5)
     got = prefix.exact_medians(df, ["wide", "hot", "two", "none"], small=40)
-    assert got["wide"] == pytest.approx(np.median(wide), abs=1e-9)
+    assert got["wide"] == np.median(wide)
     assert got["hot"] == np.median(hot)
     assert got["two"] == np.median(two)
     assert got["none"] is None
@@ -206,3 +205,53 @@ def test_best_candidate_rules(spark):
     out = {(r["model_family"], r["candidate_idx"]): r for r in ranking.best_candidates(df, "m").collect()}
     assert {k for k, r in out.items() if r["is_best_candidate"]} == {("a", 1), ("b", 1)}
     assert {k for k, r in out.items() if r["is_selected"]} == {("a", 1)}
+
+
+@pytest.mark.parametrize("small", [0, 40])
+def test_medians_read_ranks_not_fractions(spark, small):
+    inf = float("inf")
+    tails = [0.0] * 15 + [1.0] + [1e18] * 14
+    ends = [-inf, -inf, -inf, 1.0, 2.0] + [None] * 25
+    upper = [1.0, inf, inf, float("nan"), 0.0] + [None] * 25
+    df = spark.createDataFrame(list(zip(tails, ends, upper, strict=True)), "a double, b double, c double")
+    assert prefix.exact_medians(df, ["a", "b", "c"], small=small) == {"a": 0.5, "b": -inf, "c": inf}
+
+
+def test_hot_score_leaves_distinct_scores_in_many_buckets(spark):
+    rows = [(0.5,)] * 20_000 + [(i / 400,) for i in range(401)]
+    counts = spark.createDataFrame(rows, "s double").groupBy("s").agg(F.count("*").alias("n"))
+    placed = prefix.with_buckets(counts, [], "s", rows_per_bucket=20)
+    sizes = [r["count"] for r in placed.groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 45
+
+
+def test_null_group_has_a_curve_of_its_own(spark):
+    rows = [("a", 0.9, 1), ("a", 0.1, 0), (None, 0.8, 1), (None, 0.2, 0)]
+    df = spark.createDataFrame(rows, "g string, probability_default double, actual_default int")
+    for size in (1, 1_000_000):
+        got = curve.score_curve(df, groups=["g"], rows_per_bucket=size).collect()
+        assert sorted((r["g"] or "", r["score"], r["tp"], r["fp"]) for r in got) == [
+            ("", 0.2, 1, 1), ("", 0.8, 1, 0), ("a", 0.1, 1, 1), ("a", 0.9, 1, 0)
+        ]
+    df = df.withColumn("prediction", (F.col("probability_default") > 0.5).cast("int"))
+    assert curve.metrics_by_group(df, "g").count() == 2
+
+
+def test_reported_fbeta_keeps_its_beta(spark):
+    rows = [(0.9, 1), (0.7, 0), (0.6, 1), (0.4, 0), (0.3, 1)]
+    scored = spark.createDataFrame(rows, "probability_default double, actual_default int")
+    points = curve.score_curve(scored)
+    one = curve.threshold_metrics(points, "maximize_f1", beta=2.0).first()
+    fixed = curve.threshold_metrics(points, "fixed", one["threshold"], beta=2.0).first()
+    assert one["beta"] == 2.0 and one["fbeta"] == fixed["fbeta"] != one["f1"]
+
+
+def test_whole_numbers_in_any_form(spark):
+    from loanlens.functions.scalars import to_integer
+
+    texts = ["1e2", "2.0e2", "1.2345678E7", "9007199254740993", "1.5", "1e30", "x", None, " 7.0 "]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(to_integer(F.col("t"))).collect()]
+    assert got == [100, 200, 12345678, 9007199254740993, None, None, None, None, 7]
+    df = spark.createDataFrame([(12345678.0,), (0.5,)], "d double")
+    assert [r[0] for r in df.select(to_integer(F.col("d"))).collect()] == [12345678, None]
