@@ -30,8 +30,9 @@ DEEPEST = 30
 GROUPS = 4
 CUTS = 32
 
-# The search space per family.  Knobs Spark ML has no counterpart for (solver,
-# minimum split size, leaf count, l2 of boosted trees) are left out.
+# The search space per family.  Knobs and values Spark ML has no counterpart for
+# (solver, minimum split size, l2 of boosted trees, depth beyond DEEPEST, weights per tree) are
+# left out.
 SPACES: dict[str, dict[str, list]] = {
     "logistic_regression": {
         "C": [10 ** (-3 + 5 * i / 29) for i in range(30)],
@@ -40,7 +41,7 @@ SPACES: dict[str, dict[str, list]] = {
     },
     "decision_tree": {
         "criterion": ["gini", "entropy"],
-        "max_depth": [None, 3, 5, 10, 20, 40],
+        "max_depth": [None, 3, 5, 10, 20],
         "min_samples_leaf": [1, 2, 5, 10, 25, 50],
         "max_features": [None, "sqrt", "log2", 0.5],
         "class_weight": [None, "balanced"],
@@ -48,16 +49,16 @@ SPACES: dict[str, dict[str, list]] = {
     "random_forest": {
         "n_estimators": [200, 400, 600, 800],
         "criterion": ["gini", "entropy"],
-        "max_depth": [None, 5, 10, 20, 40],
+        "max_depth": [None, 5, 10, 20],
         "min_samples_leaf": [1, 2, 5, 10, 25],
         "max_features": ["sqrt", "log2", None, 0.5],
         "bootstrap": [True, False],
-        "class_weight": [None, "balanced", "balanced_subsample"],
+        "class_weight": [None, "balanced"],
     },
     "extra_trees": {
         "n_estimators": [200, 400, 600, 800],
         "criterion": ["gini", "entropy"],
-        "max_depth": [None, 5, 10, 20, 40],
+        "max_depth": [None, 5, 10, 20],
         "min_samples_leaf": [1, 2, 5, 10, 25],
         "max_features": ["sqrt", "log2", None, 0.5],
         "bootstrap": [False, True],
@@ -75,6 +76,7 @@ SPACES: dict[str, dict[str, list]] = {
         "max_iter": [100, 200, 400, 600],
         "learning_rate": [0.01, 0.03, 0.05, 0.1, 0.2],
         "max_depth": [None, 3, 5, 10],
+        "max_leaf_nodes": [15, 31, 63, 127],
         "min_samples_leaf": [10, 20, 50, 100],
     },
 }
@@ -163,7 +165,7 @@ def fit_family(
 ) -> FittedModel:
     """Fit one candidate on a frame made by ``training_frame``."""
     if family not in BUILDERS:
-        raise ValueError(f"Unknown model names in parameters: {[family]}")
+        raise ValueError(f"no model family named {family!r}")
     stages, probabilities = BUILDERS[family](train, list(features), dict(params), seed)
     fitted = Pipeline(stages=stages).fit(train)
     return FittedModel(family, list(features), fitted, probabilities, params=dict(params))
@@ -174,7 +176,16 @@ def _weight(params: Mapping) -> dict:
 
 
 def _depth(params: Mapping) -> int:
-    return min(params.get("max_depth") or DEEPEST, DEEPEST)
+    depth = params.get("max_depth") or DEEPEST
+    if depth > DEEPEST:
+        raise ValueError(f"max_depth {depth} is beyond the deepest tree, {DEEPEST}")
+    return depth
+
+
+def _leaf_depth(params: Mapping) -> int:
+    """Depth of the smallest full tree with the wanted leaves; Spark bounds depth, not leaves."""
+    leaves = params.get("max_leaf_nodes", 31)
+    return min(_depth(params), max(1, math.ceil(math.log2(leaves))))
 
 
 def _subset(params: Mapping) -> str:
@@ -284,6 +295,7 @@ def _boosting(train, features, params, seed):
         subsamplingRate=params.get("subsample", 1.0),
         featureSubsetStrategy=_subset(params),
         seed=seed,
+        **_weight(params),
     )
     return [_assemble(features), model], ["probability"]
 
@@ -292,10 +304,11 @@ def _hist_boosting(train, features, params, seed):
     model = GBTClassifier(
         maxIter=params["max_iter"],
         stepSize=params.get("learning_rate", 0.1),
-        maxDepth=_depth(params),
+        maxDepth=_leaf_depth(params),
         minInstancesPerNode=params.get("min_samples_leaf", 20),
         maxBins=255,
         seed=seed,
+        **_weight(params),
     )
     return [_assemble(features), model], ["probability"]
 

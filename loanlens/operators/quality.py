@@ -166,5 +166,5 @@ def quality_gate(
         warn.extend((r["check"], r["column"]) for r in failed if not r["critical"])
     critical = [f"{r['check']}({r['column']})" for r in failed if r["critical"]]
     if critical:
-        raise ValueError(f"Data quality critical failures: {sorted(critical)}")
+        raise ValueError(f"the table fails critical checks: {sorted(critical)}")
     return df

@@ -6,6 +6,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -62,23 +63,25 @@ def train_search(
     """Fit every candidate on the inner train rows, pick threshold and winner on the held-out
     rows, refit the winner on both.  Later years are never seen here."""
     if target not in features_train.columns:
-        raise ValueError(f"Target column '{target}' not found in features_train.")
+        raise ValueError(f"features_train has no target {target!r}")
     require_two_classes(features_train, target, "features_train")
     unknown = sorted(set(models) - set(spaces))
     if unknown:
-        raise ValueError(f"Unknown model names in parameters: {unknown}")
+        raise ValueError(f"no model family named {unknown}")
     if selection_metric not in {f"val_{m}" for m in METRICS}:
         raise ValueError(f"selection_metric must be val_ and one of {METRICS}")
     if threshold_strategy not in STRATEGIES:
-        raise ValueError(f"Unknown threshold_strategy: {threshold_strategy}")
+        raise ValueError(f"no threshold strategy named {threshold_strategy!r}")
 
     spark = features_train.sparkSession
+    started = datetime.now(timezone.utc).isoformat()
     usable, dropped = numeric_only(features_train, keep=[key])
     features = [c for c in usable.columns if c not in (key, target)]
     split = stratified_split(usable, validation_size, key, target, seed)
     # Every candidate reads the split: written once, it comes back in scan-sized partitions
     # and outlives lost executors.
     split = materialise(split, "search-split")
+    sizes = {r["is_validation"]: r["count"] for r in split.groupBy("is_validation").count().collect()}
     # Class weights come from the inner train rows alone, as for any other fitted value.
     inner = training_frame(split.filter("is_validation = 0"), features, target)
     inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
@@ -112,8 +115,11 @@ def train_search(
         for f, family in enumerate(models)
         for i, params in enumerate(candidates(spaces[family], n_iter, seed))
     ]
-    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-        rows = pool.map(inheritable_thread_target(spark)(run), tasks)
+    try:
+        with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+            rows = pool.map(inheritable_thread_target(spark)(run), tasks)
+    finally:
+        inner.unpersist()
 
     numbers = ["selected_threshold", "train_threshold"]
     numbers += [f"{s}_{m}" for s in ("train", "val") for m in METRICS]
@@ -125,7 +131,7 @@ def train_search(
     winners = results.filter("is_best_candidate").collect()
     missing = sorted(set(models) - {w["model_family"] for w in winners})
     if missing:
-        raise ValueError(f"No valid candidate found for {missing}.")
+        raise ValueError(f"every candidate of {missing} failed")
     best = next(w for w in winners if w["is_selected"])
 
     params = next(
@@ -148,13 +154,17 @@ def train_search(
         "selection_metric": selection_metric,
         "selected_model_family": best["model_family"],
         "selected_best_params": params,
+        "n_train_rows": sizes.get(0, 0),
+        "n_val_rows": sizes.get(1, 0),
+        "n_features": len(features),
+        "started_at": started,
+        "finished_at": datetime.now(timezone.utc).isoformat(),
         "feature_columns": features,
         "dropped_non_numeric_columns": dropped,
         "model_summaries": [w.asDict() for w in winners],
     }
     if log_path:
         _log_search(spark, log_path, metadata, winners)
-    inner.unpersist()
     model = replace(model, threshold=best["selected_threshold"], metadata=metadata)
     return SearchResult(model, results, metadata)
 
@@ -175,18 +185,22 @@ def evaluate(
     features_test: DataFrame,
     target: str = "default",
     key: str = "loan_sequence_number",
-    beta: float = 2.0,
+    beta: float | None = None,
     log_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Metrics at the trained threshold on later years, and the predictions by loan id."""
+    """Metrics at the trained threshold on later years, and the predictions by loan id.
+
+    Without ``beta`` the one the model was selected with is used.
+    """
     if target not in features_test.columns:
-        raise ValueError(f"Target column '{target}' not found in features_test.")
+        raise ValueError(f"features_test has no target {target!r}")
     require_two_classes(features_test, target, "features_test")
     scored = model.score(features_test, [key, target]).withColumnRenamed(target, "actual_default")
     predictions = flag_at(scored, model.threshold).withColumn(
         "selected_model_family", F.lit(model.family)
     )
     curve = score_curve(predictions)
+    beta = model.metadata.get("beta", 2.0) if beta is None else beta
     metrics = threshold_metrics(curve, "fixed", model.threshold, beta)
     if log_path:
         row = metrics.first().asDict()

@@ -468,7 +468,8 @@ def _quality_sql() -> str:
             "false",
         ),
         row("unique", ID, f"count({ID}) = count(DISTINCT {ID})", f"count(DISTINCT {ID})", 
-            f"count({ID}) - count(DISTINCT {ID})", "true"),
+            f"(SELECT coalesce(sum(n), 0) FROM (SELECT count({ID}) AS n FROM model_input GROUP BY {ID}) g "
+            "WHERE n > 1)", "true"),
     ]
     for name, good in pairs.items():
         bad = f"count(*) FILTER (NOT coalesce({good}, false))"

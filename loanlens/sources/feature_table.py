@@ -33,7 +33,8 @@ def write_feature_table(
     found = per_key.agg(F.sum("n").alias("rows"), F.count_if(repeated).alias("bad")).first()
     if found["bad"]:
         raise ValueError(f"'{key}' must be non-null and unique: {found['bad']} values are not")
-    table.write.mode("overwrite").parquet(path)
+    # a version that is there already is kept: writing it again fails
+    table.write.mode("errorifexists").parquet(path)
     return {
         "feature_group": name,
         "version": int(version),

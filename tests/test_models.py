@@ -170,11 +170,11 @@ def test_search_evaluate_and_log(spark, points):
 
 
 def test_search_refuses_bad_input(points):
-    with pytest.raises(ValueError, match="not found"):
+    with pytest.raises(ValueError, match="has no target"):
         train_search(points.drop("default"))
-    with pytest.raises(ValueError, match="both classes"):
+    with pytest.raises(ValueError, match="one class only"):
         train_search(points.filter("default = 1"))
-    with pytest.raises(ValueError, match="Unknown model"):
+    with pytest.raises(ValueError, match="no model family"):
         train_search(points, ["nearest_neighbour"])
     with pytest.raises(ValueError, match="selection_metric"):
         train_search(points, selection_metric="f1")
