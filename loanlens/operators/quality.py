@@ -151,6 +151,14 @@ def failed_checks(checks: DataFrame, critical: bool = True) -> DataFrame:
     return checks.filter(~F.col("success") & (F.col("critical") == critical))
 
 
+class FailedChecks(ValueError):
+    """The critical checks, as check(column), that a table failed."""
+
+    def __init__(self, checks: list[str]):
+        super().__init__(f"the table fails critical checks: {checks}")
+        self.checks = checks
+
+
 def quality_gate(
     df: DataFrame,
     bounds: Bounds = Bounds(),
@@ -166,5 +174,5 @@ def quality_gate(
         warn.extend((r["check"], r["column"]) for r in failed if not r["critical"])
     critical = [f"{r['check']}({r['column']})" for r in failed if r["critical"]]
     if critical:
-        raise ValueError(f"the table fails critical checks: {sorted(critical)}")
+        raise FailedChecks(sorted(critical))
     return df

@@ -21,7 +21,6 @@ from loanlens.sources.delimited import read_years, write_by_year
 
 TRAIN_UNTIL = 1997
 TEST_FROM = 1998
-TEST_YEARS = (1998, 1999, 2000, 2001)
 ID = LOAN_ROLES.loan_id
 
 
@@ -81,6 +80,11 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_years(spark, path)
 
 
+def years_in(df: DataFrame) -> list[int]:
+    """The years of a table stored by year, read off its folders."""
+    return sorted(r["year"] for r in df.select("year").filter("year IS NOT NULL").distinct().collect())
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores with outcomes: id, year, probability, label and decision at 0.5."""
     scores = view(spark, sf_dir, "scores")

@@ -464,7 +464,7 @@ _BOTH = (
 )
 def drift_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, current = _drift_frames(spark, sf_dir)
-    rows = drift.numeric_drift(reference, current, NUMERIC_WATCHED, V.TEST_YEARS)
+    rows = drift.numeric_drift(reference, current, NUMERIC_WATCHED, V.years_in(current))
     return rounded(rows.drop("ks_p_value"))
 
 
@@ -479,13 +479,13 @@ def drift_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def drift_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference, current = _drift_frames(spark, sf_dir)
-    return rounded(drift.categorical_drift(reference, current, CATEGORY_WATCHED, V.TEST_YEARS))
+    return rounded(drift.categorical_drift(reference, current, CATEGORY_WATCHED, V.years_in(current)))
 
 
 def _feature_drift(spark: SparkSession, sf_dir: str, *tests: str) -> DataFrame:
     reference, current = _drift_frames(spark, sf_dir)
     return drift.feature_drift(
-        reference, current, NUMERIC_WATCHED, CATEGORY_WATCHED, V.TEST_YEARS, *tests
+        reference, current, NUMERIC_WATCHED, CATEGORY_WATCHED, V.years_in(current), *tests
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loanlens.operators import profile
 from loanlens.operators.cleaning import cleaning_statistics
-from loanlens.operators.quality import Bounds, quality_checks, quality_gate
+from loanlens.operators.quality import Bounds, FailedChecks, quality_checks, quality_gate
 from loanlens.plans import frames as V
 from loanlens.plans.oracle import NUMERIC_FEATURES, integer, num, with_frames
 from loanlens.plans.registry import query
@@ -482,18 +482,34 @@ def quality_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_checks(V.model_input(spark, sf_dir), BOUNDS)
 
 
+def _gate_sql(state: str, repaired: str = "") -> str:
+    """Failed critical checks of the table, without the one that the repair mends."""
+    name = "q.check || '(' || q.\"column\" || ')'"
+    return (
+        f"SELECT '{state}' AS state, count(*) = 0 AS passed, coalesce(string_agg({name}, ',' "
+        f"ORDER BY {name}), '') AS failed FROM ({_quality_sql()}) q "
+        f"WHERE q.critical AND NOT q.success AND {name} <> '{repaired}'"
+    )
+
+
 @query(
     "q_quality_gate",
     with_frames(
-        f"SELECT {ID}, CAST(CASE WHEN {integer('credit_score')} BETWEEN 300 AND 850 THEN "
-        f"{integer('credit_score')} ELSE 9999 END AS BIGINT) AS credit_score, year FROM model_input",
+        f"{_gate_sql('as read')} UNION ALL {_gate_sql('repaired', 'in_set(credit_score)')}",
         "model_input",
     ),
 )
 def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores outside the set become the sentinel first, so the gate lets the table through."""
+    """What the gate says of the table as read, and of one whose scores outside the set became the
+    sentinel."""
     rows = V.model_input(spark, sf_dir)
     score = F.col("credit_score").try_cast("bigint")
     repaired = F.when(score.between(300, 850), score).otherwise(F.lit(9999))
-    checked = quality_gate(rows.withColumn("credit_score", repaired), BOUNDS)
-    return checked.select(ID, "credit_score", "year")
+    found = []
+    for state, given in (("as read", rows), ("repaired", rows.withColumn("credit_score", repaired))):
+        try:
+            quality_gate(given, BOUNDS)
+            found.append((state, True, ""))
+        except FailedChecks as e:
+            found.append((state, False, ",".join(e.checks)))
+    return spark.createDataFrame(found, "state string, passed boolean, failed string")

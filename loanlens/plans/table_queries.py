@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions import scalars as S
-from loanlens.operators import joins, profile, project, ranking
+from loanlens.operators import features, joins, profile, project, ranking
 from loanlens.operators.cleaning import clean
 from loanlens.operators.target import ever_default, join_target, union_years, unlabelled
 from loanlens.plans import frames as V
@@ -703,19 +703,34 @@ def pair_background(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "q_split_disjoint",
-    with_frames("SELECT loan_sequence_number FROM scores WHERE 1 = 0", "scores"),
+    with_frames(
+        'SELECT "default", count(*) AS n_rows, CAST(ceil(0.2::DOUBLE * count(*)) AS BIGINT) AS '
+        "n_validation, count(*) - CAST(ceil(0.2::DOUBLE * count(*)) AS BIGINT) AS n_train, "
+        'CAST(0 AS BIGINT) AS n_shared FROM target GROUP BY "default"',
+        "target",
+    ),
 )
 def split_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.origination(spark, sf_dir).select(ID, "year")
-    return joins.shared_ids(*project.split_by_year(rows, V.TRAIN_UNTIL, V.TEST_FROM), ID)
+    """What the split of train and validation rows shares, by class, with its sizes."""
+    rows = V.target(spark, sf_dir)
+    split = features.stratified_split(rows, 0.2, ID, "default")
+    train, validation = (split.filter(F.col("is_validation") == i) for i in (0, 1))
+    shared = joins.shared_ids(train, validation, ID).withColumn("_shared", F.lit(1))
+    marked = split.join(shared.distinct(), ID, "left")
+    return marked.groupBy("default").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("is_validation") == 1).alias("n_validation"),
+        F.count_if(F.col("is_validation") == 0).alias("n_train"),
+        F.count("_shared").alias("n_shared"),
+    )
 
 
 @query(
     "q_union_years",
     with_frames(
         "SELECT loan_sequence_number, credit_score, year, special_eligibility_program, "
-        "CASE WHEN year = 2001 THEN mi_cancellation_indicator END AS mi_cancellation_indicator "
-        "FROM origination",
+        "CASE WHEN year = (SELECT max(year) FROM origination) THEN mi_cancellation_indicator END "
+        "AS mi_cancellation_indicator FROM origination",
         "origination",
     ),
 )
@@ -724,8 +739,10 @@ def union_years_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.origination(spark, sf_dir).select(
         ID, "credit_score", "year", "special_eligibility_program", code
     )
-    by_year = {y: rows.filter(F.col("year") == y).drop("year", code) for y in range(1995, 2001)}
-    return union_years(by_year, [rows.filter("year = 2001")])
+    # the newest table has a column that the earlier ones lack; every other year is in their table
+    newest = rows.agg(F.max("year")).scalar()
+    late = F.coalesce(F.col("year") == newest, F.lit(False))
+    return union_years({}, [rows.filter(~late).drop(code), rows.filter(late)])
 
 
 @query(
