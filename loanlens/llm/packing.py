@@ -31,12 +31,12 @@ WINDOW = 2048
 END_ID = 1
 MAX_OPEN = 1024
 #: Words whose ids a worker keeps; beyond that it starts afresh.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 700_000
 _SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
-#: Words of Latin letters with at most one mark behind: letters and mark are split before merging.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Words of Latin letters with ASCII marks behind: letters and marks are split before merging.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@[-`{-~]*)")
 
 
 class WordIds:
@@ -53,16 +53,32 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _encode_cores(self, cores: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, many to a text: each ends with the first piece that ends
+        a word."""
+        parts = [cores[i : i + 500] for i in range(0, len(cores), 500)]
+        out: list[bytes] = []
+        for found in self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False):
+            ids = np.array(found.ids, dtype="<u4")
+            packed = ids.tobytes()
+            cuts = [0, *(4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()]
+            out += [packed[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
+
     def _learn(self, missing: set[str]) -> None:
         plain = {w: m for w in missing if (m := _PLAIN.fullmatch(w))}
-        wanted = {m[1].lower() for m in plain.values()} | {m[2] for m in plain.values()}
-        wanted = list(wanted - self.cores.keys())
-        self.cores.update(zip(wanted, self._encode(wanted), strict=True))
+        wanted = list({m[1].lower() for m in plain.values()} - self.cores.keys())
+        self.cores.update(zip(wanted, self._encode_cores(wanted), strict=True))
+        marks = list({m[2] for m in plain.values()} - self.cores.keys())
+        self.cores.update(zip(marks, self._encode(marks), strict=True))
         for w, m in plain.items():
             self.known[w] = self.cores[m[1].lower()] + self.cores[m[2]]
         others = [w for w in missing if w not in plain]
