@@ -55,17 +55,20 @@ def _settle(name: str, roles: RoleMap) -> Column:
 def cleaning_statistics(raw: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFrame:
     """(stat, column, key, value) rows about a raw table and its cleaned form.
 
-    One aggregate for all counters, one grouped pass for the distributions, one per-key
-    count for duplicates.  Domains and histograms are rows, not collected sets.
+    Counters are conditions: a row gives the numbers of those it meets, which are counted in one
+    grouped pass.  A pass over whole columns gives ranges and dates, one grouped pass the
+    distributions, one per-key count the duplicates.  Domains and histograms are rows, not
+    collected sets.
     """
     raw = normalise_names(raw)
     cleaned = clean(raw, roles)
     narrow, leaky = drop_leaky(raw, roles)
     _, dropped = drop_listed(narrow, roles)
     counters: dict[tuple[str, str, str], Column] = {}
+    conditions: dict[tuple[str, str, str], Column] = {}
 
     def n(stat: str, column: str, condition: Column) -> None:
-        counters[(stat, column, "")] = F.count_if(F.coalesce(condition, F.lit(False)))
+        conditions[(stat, column, "")] = condition
 
     needed = present(
         narrow, [*roles.numeric_sentinels, *roles.category_sentinels, roles.target]
@@ -109,17 +112,14 @@ def cleaning_statistics(raw: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFram
         *[_settle(c, roles).alias(c) for c in cleaned.columns],
         *[F.col(f"_raw_{c}") for c in needed],
     )
-    labels = {f"k{i}": key for i, key in enumerate(counters)}
-    row = both.agg(
-        *[v.cast("string").alias(f"k{i}") for i, v in enumerate(counters.values())]
-    )
-    parts = {k: F.lit("\t".join(v)) for k, v in labels.items()}
-    named = row.unpivot([], row.columns, "k", "value")
-    text = F.create_map(*[x for k, v in parts.items() for x in (F.lit(k), v)])
-    split = F.split(F.element_at(text, F.col("k")), "\t")
-    single = named.select(
-        split[0].alias("stat"), split[1].alias("column"), split[2].alias("key"), "value"
-    )
+    row = both.agg(*[v.alias(f"k{i}") for i, v in enumerate(counters.values())])
+    names = ("stat", "column", "key")
+    items = [
+        F.struct(*[F.lit(x).alias(n) for n, x in zip(names, key, strict=True)], F.col(f"k{i}").cast("string").alias("value"))
+        for i, key in enumerate(counters)
+    ]
+    single = row.select(F.explode(F.array(*items)).alias("s")).select("s.*")
+    single = single.unionByName(_condition_counts(both, conditions))
 
     grouped = _distributions(cleaned, roles)
     per_key = profile.duplicate_count(cleaned, roles.loan_id).select(
@@ -137,6 +137,19 @@ def cleaning_statistics(raw: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFram
     return result
 
 
+def _condition_counts(df: DataFrame, conditions: dict[tuple[str, str, str], Column]) -> DataFrame:
+    """(stat, column, key, value): the rows that meet each condition, 0 included."""
+    met = F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions.values())])
+    hits = df.select(F.explode(F.filter(met, lambda i: i.isNotNull())).alias("i"))
+    counts = hits.groupBy("i").agg(F.count("*").alias("n"))
+    names = df.sparkSession.createDataFrame(
+        [(i, *key) for i, key in enumerate(conditions)],
+        "i int, stat string, column string, key string",
+    )
+    value = F.coalesce("n", F.lit(0)).cast("string").alias("value")
+    return names.join(counts, "i", "left").select("stat", "column", "key", value)
+
+
 def _distributions(cleaned: DataFrame, roles: RoleMap) -> DataFrame:
     """Category domains, term differences and the target, counted in one grouped pass."""
     columns = {c: F.col(c).cast("string") for c in present(cleaned, roles.allowed)}

@@ -217,3 +217,14 @@ def test_first_coded_record_takes_first_non_null_per_column(spark):
     assert out["A"]["zero_balance_code"] == "09" and out["A"]["monthly_reporting_period"] == "200503"
     assert out["A"]["v"] == 7
     assert out["B"]["v"] is None
+
+
+def test_cleaning_statistics_compile(spark, capfd):
+    """The generated code of every branch is compiled, not interpreted."""
+    from loanlens.operators.cleaning import cleaning_statistics
+    from loanlens.plans import frames
+
+    found = cleaning_statistics(frames.model_input(spark, "/root/testdata/sf0.001"))
+    found.write.format("noop").mode("overwrite").save()
+    captured = capfd.readouterr()
+    assert "Failed to compile" not in captured.out + captured.err
