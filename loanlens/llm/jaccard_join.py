@@ -8,8 +8,9 @@ candidate pairs, filtered by size and by the places of the shingle, which are th
 members and verified on whole sets.
 
 A prefix shingle shared by more than SMALL groups does not give all their pairs: each of them is
-verified against one pivot first, and after that only members of different components are. This
-loses no link between components, and repeats while it saves work.
+verified against one pivot first. After that only members of different components are compared,
+which loses no link between components, and only those pass whose bitmaps differ in no more places
+than the sets of a similar pair may.
 
 Defined results: null text and text without words have an empty set, no links and are their own
 component; texts with equal sets are one class, whatever their number; repeated ids are one node
@@ -25,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm.arrays import byte_view, chunks, mix, shingle_hashes, word_hashes
@@ -42,10 +43,8 @@ SKETCH_PARTS = 16
 _STEP = np.log(1.08)
 #: Groups that share a shingle are paired outright up to this number.
 SMALL = 8
-#: Pairs between components are written out once they are at most this many times the rows that
-#: still share a shingle across components, or after so many pivot rounds.
-PAIRS_PER_ROW = 8
-PIVOT_ROUNDS = 5
+#: Bits of the bitmap of a set: each shingle sets the bit its hash names.
+BITMAP = 4096
 _TOKEN_BITS = 48
 
 
@@ -257,18 +256,26 @@ def _pair_up(packed: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, own): the sorted shingle set of each wanted document, six bytes each."""
+    """(cls, own, bits): the sorted shingle set of each wanted document, six bytes each, and its
+    bitmap."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            own = []
+            own, bits = [], []
             for x in shingle_sets(*byte_view(batch.column("text"))):
                 six = np.unique(x >> np.uint64(16))
                 # two shingles may meet in six bytes; such a set stays whole
                 own.append(b"6" + _six(six) if len(six) == len(x) else b"8" + x.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own, pa.binary())], names=["cls", "own"])
+                marked = np.zeros(BITMAP, dtype=bool)
+                marked[(x & np.uint64(BITMAP - 1)).astype(np.int64)] = True
+                bits.append(np.packbits(marked).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(own, pa.binary()), pa.array(bits, pa.binary())], names=["cls", "own", "bits"]
+            )
 
-    return docs.join(wanted.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi").mapInArrow(run, "cls long, own binary")
+    # by merging at every size: the ids grow with the documents
+    ids = wanted.select(F.col("cls").alias("doc_id")).hint("merge")
+    return docs.join(ids, "doc_id", "left_semi").mapInArrow(run, "cls long, own binary, bits binary")
 
 
 def _values(own: bytes, six: bool) -> np.ndarray:
@@ -305,17 +312,51 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _possible(x: str, y: str) -> Column:
-    """Size filter, and the most that can be common when this shingle is the first common one."""
-    n, m, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.place"), F.col(f"{y}.place")
-    sizes = F.least(n, m) * SHARE[1] >= F.greatest(n, m) * SHARE[0]
-    most = F.least(n - i, m - j)
-    return sizes & (most * (SHARE[0] + SHARE[1]) >= (n + m) * SHARE[0])
+def _cross_pairs(keyed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of (key, cls, n, place, component, bits) that share a key, are of different
+    components, and may be similar by size, by the most that can be common when this shingle is
+    the first common one, and by their bitmaps."""
+
+    def pairs(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if len(held) < 2:
+            return
+        cls, n, place, component, bits = (list(x) for x in zip(*held, strict=True))
+        cls, n, place, component = (np.array(x, dtype=np.int64) for x in (cls, n, place, component))
+        order = np.argsort(n, kind="stable")
+        cls, n, place, component = (x[order] for x in (cls, n, place, component))
+        maps = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(n), -1)[order]
+        found = []
+        for i in range(len(n) - 1):
+            # the larger ones that are not too large
+            end = int(np.searchsorted(n, n[i] * SHARE[1] // SHARE[0], side="right"))
+            j = np.arange(i + 1, max(end, i + 1))
+            most = np.minimum(n[i] - place[i], n[j] - place[j])
+            both = n[i] + n[j]
+            j = j[(component[j] != component[i]) & (most * (SHARE[0] + SHARE[1]) >= both * SHARE[0])]
+            if len(j):
+                differ = np.bitwise_count(maps[j] ^ maps[i]).sum(axis=1, dtype=np.int64)
+                j = j[differ * (SHARE[0] + SHARE[1]) <= (n[i] + n[j]) * (SHARE[1] - SHARE[0])]
+            if len(j):
+                found.append(np.stack([np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j])]))
+        if found:
+            a, b = np.concatenate(found, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at = None
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("key", "cls", "n", "place", "component", "bits"))
+            for key, *row in zip(*columns, strict=True):
+                if key != at:
+                    yield from pairs(held)
+                    held, at = [], key
+                held.append(tuple(row))
+        yield from pairs(held)
 
-def _pairs(x: str, y: str) -> list[Column]:
-    a, b = F.col(f"{x}.cls"), F.col(f"{y}.cls")
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    width = shuffle_width(keyed.sparkSession)
+    rows = keyed.select("key", "cls", "n", F.col("place").cast("long"), "component", "bits")
+    return rows.repartition(width, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
 
 
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -348,36 +389,15 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(keyed.select("cls")).distinct()
     sets = materialise(_sets(docs, wanted), "sets")
     links = materialise(_verify(pairs, sets), "verified")
-    found, done = components(links), pairs
-    for turn in range(PIVOT_ROUNDS + 1):
-        labels = found.withColumnRenamed("node", "cls")
-        now = keyed.select("key", "cls", "n", "place").join(labels, "cls", "left")
-        now = now.withColumn("component", F.coalesce("component", "cls"))
-        counts = now.groupBy("key", "component").agg(F.count("*").alias("k"))
-        mixed = counts.groupBy("key").agg(
-            F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"), F.count("*").alias("parts")
-        )
-        mixed = mixed.filter("parts > 1").select("key", F.col("top.component").alias("main"), "all")
-        # keys within one component never open again
-        keyed = materialise(now.join(mixed, "key"), "open")
-        left = keyed.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("work"), F.count("*").alias("rows")).first()
-        if not left["work"]:
-            break
-        last = left["work"] <= PAIRS_PER_ROW * left["rows"] or turn == PIVOT_ROUNDS
-        if last:
-            chosen = keyed.filter(F.col("component") != F.col("main"))
-        else:
-            order = F.struct(F.xxhash64("cls", F.lit(turn)), "cls")
-            pivot = keyed.groupBy("key").agg(F.min_by(F.struct("cls", "n", "place", "component"), order).alias("p"))
-            chosen = pivot.select("key", "p.*")
-        on = (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-        new = chosen.alias("x").join(keyed.alias("y"), on & _possible("x", "y")).select(*_pairs("x", "y")).distinct()
-        new = materialise(new.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(new)
-        links = links.unionByName(materialise(_verify(new, sets), "verified"))
-        found = components(links)
-        if last:
-            break
+    found = components(links)
+    now = keyed.join(found.withColumnRenamed("node", "cls"), "cls", "left")
+    now = now.withColumn("component", F.coalesce("component", "cls"))
+    mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rest = now.join(mixed.filter("low <> high").select("key"), "key").join(sets.select("cls", "bits"), "cls")
+    new = materialise(_cross_pairs(rest).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    more = materialise(_verify(new, sets), "verified")
+    if more.take(1):
+        found = components(links.unionByName(more))
     return members, found
 
 

@@ -132,10 +132,9 @@ def test_family_returns_every_shared_suffix_once():
     assert sorted(got) == sorted(x for x in given if x[0] in many)
 
 
-def test_pivot_rounds_lose_no_link(spark, monkeypatch):
+def test_pivots_lose_no_link(spark, monkeypatch):
     """Many near copies that share most shingles, some of them linked through others only."""
     monkeypatch.setattr(jaccard_join, "SMALL", 2)
-    monkeypatch.setattr(jaccard_join, "PAIRS_PER_ROW", 0)
     rng = random.Random(9)
     base = [f"w{i}" for i in range(60)]
     rows = []
