@@ -188,8 +188,9 @@ def _group_pairs(t: np.ndarray, g: np.ndarray, n: np.ndarray, p: np.ndarray) ->
         at = np.arange(len(t) - j)
         pairs.append(at[(t[j:] == t[:-j]) & (np.repeat(k, k)[:-j] <= SMALL)] + np.array([[0], [j]]))
     for a, size in zip(start[k > SMALL].tolist(), k[k > SMALL].tolist(), strict=True):
-        pivot = a + int(np.argmin(mix(g[a : a + size].view(np.uint64))))
+        # the one with the fewest shingles of its own before this one is likest to most others
         others = np.arange(a, a + size)
+        pivot = a + int(np.lexsort((mix(g[others].view(np.uint64)), p[others]))[0])
         pairs.append(np.stack([np.full(size, pivot), others])[:, others != pivot])
     x, y = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
     low, high = np.minimum(n[x], n[y]).astype(np.int64), np.maximum(n[x], n[y]).astype(np.int64)
