@@ -327,8 +327,9 @@ def shard_sums(held: list[tuple], known: Contexts) -> Iterator[pa.RecordBatch]:
 
 
 def _add_up(sums: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base, score): the sums of all shards for every document."""
-    schema = "doc_id long, n_tokens long, n_known long, base double, score double"
+    """(doc_id, n_tokens, n_known, base, score): the sums of all shards for every document; and for
+    every task a row with the words of its shards alone."""
+    schema = "doc_id long, n_tokens long, n_known long, base double, score double, words long"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, sizes, parts = None, [], b"", []
@@ -342,11 +343,14 @@ def _add_up(sums: DataFrame) -> DataFrame:
             base, score, known = total
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(np.frombuffer(sizes, "<u4").astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
-                    names=["doc_id", "n_tokens", "n_known", "base", "score"],
+                    [pa.array(ids, pa.int64()), pa.array(np.frombuffer(sizes, "<u4").astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), pa.nulls(n, pa.int64())],
+                    names=names,
                 )
 
+        names = ["doc_id", "n_tokens", "n_known", "base", "score", "words"]
+        words = 0
         for batch in batches:
+            words += pc.sum(batch.column("words")).as_py() or 0
             columns = [batch.column(c) for c in ("chunk", "ids", "sizes", *_SUM)]
             for i in range(batch.num_rows):
                 chunk, own, size, *packed = (c[i].as_py() for c in columns)
@@ -358,6 +362,8 @@ def _add_up(sums: DataFrame) -> DataFrame:
                 else:
                     parts.append([np.frombuffer(x, k) for x, k in zip(packed, _SUM_KINDS, strict=True)])
         yield from flush()
+        nothing = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.float64())] * 2
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([words], pa.int64())], names=names)
 
     width = shuffle_width(sums.sparkSession)
     return sums.repartition(width, "chunk").sortWithinPartitions("chunk").mapInArrow(run, schema)
@@ -367,14 +373,14 @@ def score(docs: DataFrame) -> DataFrame:
     """n_tokens, n_known, train_tokens, base_score and score of each of (doc_id, text, learn)."""
     spark = docs.sparkSession
     contexts = gather_contexts(docs)
-    shards = 4 * shuffle_width(spark)
-    sums = materialise(_answer(_send(docs, contexts, shards), contexts), "sums")
+    shards = 2 * shuffle_width(spark)
+    sums = materialise(_add_up(_answer(_send(docs, contexts, shards), contexts)), "sums")
     n_words = sums.agg(F.sum("words")).first()[0] or 0
     if len(contexts.spread):
         at = np.searchsorted(contexts.words, contexts.spread) + FIRST_WORD
         n_words += int((contexts.count[at] > 0).sum())
     whole = float(np.log10(contexts.n_tokens + ADD * (n_words + 1)))
-    return _add_up(sums).select(
+    return sums.filter("words IS NULL").select(
         "doc_id",
         "n_tokens",
         "n_known",
