@@ -34,7 +34,7 @@ from loanlens.llm.frames import table, texts
 SEED = 17
 DROPOUT = 0.1
 #: Different segmentations of a word that documents are dealt to by a hash of their id.
-STREAMS = 4
+STREAMS = 2
 #: Runs whose ids a worker keeps; beyond that it starts afresh.
 CACHE_RUNS = 250_000
 BLANK = "▁"
@@ -60,7 +60,11 @@ class Vocabulary:
             self.of[i] = bytes([b])
         for p, i in self.pieces.items():
             self.of[i] = p.replace(BLANK, " ").encode()
+        self.mark = np.array([self.bytes[b] for b in BLANK.encode()], dtype="<u4").tobytes()
+        #: Neighbouring characters within pieces: no merge joins any others.
+        self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.known: dict[tuple[int, str], bytes] = {}
+        self.parts: dict[tuple[int, str], bytes] = {}
 
     def encode_run(self, run: str, key: int, dropout: float) -> list[int]:
         """Ids of a run of characters in which blanks are written as BLANK."""
@@ -78,9 +82,8 @@ class Vocabulary:
             if score is None:
                 return
             if limit:
-                # no two candidates of a run start, part and end at the same places
-                place = b"%d %d %d" % (left, right, len(piece))
-                if xxhash.xxh3_64_intdigest(place, key) < limit:
+                # a candidate is a piece at a place of its run
+                if xxhash.xxh3_64_intdigest(piece, key + left & _LIMIT - 1) < limit:
                     return
             heapq.heappush(agenda, (-score, left, piece))
 
@@ -116,28 +119,36 @@ class Vocabulary:
         known = self.known
         if len(known) > CACHE_RUNS:
             known.clear()
+            self.parts.clear()
         out = []
         for run in _RUNS.findall(" " + text):
             found = known.get((stream, run))
             if found is None:
-                key = xxhash.xxh3_64_intdigest(f"{seed} {stream} {run}".encode())
-                # zero characters of the text are bytes of their own as well
-                if "\0" in run or BLANK in run:
-                    ids = self._with_marks(run, key, dropout)
-                else:
-                    ids = self.encode_run(run.replace(" ", BLANK), key, dropout)
-                known[(stream, run)] = found = np.array(ids, dtype="<u4").tobytes()
+                # a mark in the text that stands for a blank in pieces becomes bytes
+                found = self.mark.join(
+                    b"".join([self._part(stream, p, seed, dropout) for p in self._parts(x.replace(" ", BLANK))])
+                    for x in run.split(BLANK)
+                )
+                known[(stream, run)] = found
             out.append(found)
         return b"".join(out)
 
-    def _with_marks(self, run: str, key: int, dropout: float) -> list[int]:
-        out: list[int] = []
-        for i, part in enumerate(re.split(f"(\0|{BLANK})", run)):
-            if i % 2:
-                out += [self.bytes[b] for b in part.encode()]
-            elif part:
-                out += self.encode_run(part.replace(" ", BLANK), (key + i) % _LIMIT, dropout)
-        return out
+    def _parts(self, run: str) -> list[str]:
+        """The run cut where no merge can join: neighbours that no piece holds side by side."""
+        pairs, out, start = self.pairs, [], 0
+        for i in range(1, len(run)):
+            if run[i - 1 : i + 1] not in pairs:
+                out.append(run[start:i])
+                start = i
+        return [*out, run[start:]] if run else []
+
+    def _part(self, stream: int, part: str, seed: int, dropout: float) -> bytes:
+        found = self.parts.get((stream, part))
+        if found is None:
+            key = xxhash.xxh3_64_intdigest(f"{seed} {stream} {part}")
+            ids = self.encode_run(part, key, dropout)
+            self.parts[(stream, part)] = found = np.array(ids, dtype="<u4").tobytes()
+        return found
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text, without the blank put in front."""
