@@ -1,14 +1,16 @@
 """Texts scored by an n-gram model in Elias-Fano tries.
 
-A word is predicted from the word before it, if that is one of the frequent context words, or from
-the class of all others or the start of the text. Probabilities are smoothed towards single words
-by the number of different followers of the context (Witten and Bell). Pairs are kept with the
-predicted word first, so that a trie of any share of the words is complete by itself; the counts of
-the contexts form a small table of fixed size.
-
-Every chunk of documents sends each pair once with the documents it is in, dealt by word; pairs of
-very frequent words are dealt by context too. A shard counts its pairs, codes its trie, answers the
-chunks from it and returns sums per document. Nothing but the context table reaches the driver.
+A word is predicted from the word before it, whatever that is, or from the start of the text.
+Probabilities are smoothed towards single words by the number of different followers of the context
+(Witten and Bell). Every pair of words of the training texts is counted, and so are words, contexts
+and followers, exactly.
+
+Pairs are dealt to shards by the hashes of both words, so that no word makes a shard large. First
+every chunk of documents sends its different pairs with their training counts; a shard adds them up,
+and what it found of every word is added up over the shards, dealt by word, and sent back to the
+shards that hold the word. Then every chunk sends its pairs with the documents they are in; a shard
+codes its trie, answers the chunks from it and returns sums per document. Only three totals reach the
+driver.
 
 Defined results: null text is empty and consists of the end alone; repeated ids give one row each;
 a null id belongs to the held-out part; without training rows every token has the same probability.
@@ -17,7 +19,6 @@ Words are told apart by 64-bit hashes. Other columns are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,39 +34,46 @@ from loanlens.llm.elias_fano import Trie
 from loanlens.llm.frames import fold, shuffle_width, table, texts
 from loanlens.session import materialise
 
-#: Context words; with the start and the class of other words, all that a word is predicted from.
-CONTEXT_WORDS = 4_000
-START, OTHER, FIRST_WORD = 0, 1, 2
-#: Documents read to choose the context words, at most about; counts cover all documents.
-CHOICE_ROWS = 4_000
-#: Pairs of the most frequent words are dealt to so many shards each.
-SPREAD_WORDS = 256
-SPREAD = 16
-#: Registers of the estimate of different followers of a context, and of different words.
-REGISTERS = 256
-WORD_REGISTERS = 1 << 14
-#: The end of a text as a token.
+#: The start of a text as a context, and the end as a token.
+START = np.uint64(0xD1B54A32D192ED03)
 END = np.uint64(0x8F5C28F5C28F5C29)
 ADD = 0.1
 _CHUNK_DOCS = 30_000
 
 
 @dataclass(frozen=True)
-class Contexts:
-    """Context words (ascending hashes), how often each context is followed by a word in training,
-    how many different words follow it, and the totals."""
+class Totals:
+    """Tokens, documents and different tokens of the training texts."""
 
-    words: np.ndarray
-    spread: np.ndarray
-    count: np.ndarray
-    followers: np.ndarray
     n_tokens: int
     n_docs: int
-    n_words: float
+    n_words: int
+
+    @property
+    def whole(self) -> float:
+        return self.n_tokens + ADD * (self.n_words + 1)
 
     def base(self, count: np.ndarray) -> np.ndarray:
         """Smoothed probability of single tokens by their counts."""
-        return (count + ADD) / (self.n_tokens + ADD * (self.n_words + 1))
+        return (count + ADD) / self.whole
+
+
+@dataclass(frozen=True)
+class Known:
+    """Of every word of a shard (ascending hashes): how often it stands in training, and how many
+    different tokens follow it."""
+
+    hashes: np.ndarray
+    count: np.ndarray
+    followers: np.ndarray
+    totals: Totals
+
+    def at(self, hashes: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.hashes, hashes)
+
+    def word_count(self, words: np.ndarray) -> np.ndarray:
+        """Training counts of tokens. A word is a context as often as it is a token."""
+        return np.where(words == END, self.totals.n_docs, self.count[self.at(words)]).astype(np.float64)
 
 
 def _small_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,8 +82,8 @@ def _small_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield batch.slice(at, _CHUNK_DOCS)
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every token, ends included: its hash, the number of its context, and its row."""
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every token, ends included: its hash, the hash of its context, and its row."""
     hashes, bounds, _ = word_hashes(data, offsets)
     n_rows = len(offsets) - 1
     sizes = np.diff(bounds) + 1
@@ -84,252 +92,294 @@ def tokens(data: np.ndarray, offsets: np.ndarray, words: np.ndarray) -> tuple[np
     inner = np.ones(len(out), dtype=bool)
     inner[ends] = False
     out[inner] = hashes
-    context = np.full(len(out), OTHER, dtype=np.int64)
-    if len(words):
-        at = np.minimum(np.searchsorted(words, out[:-1]), len(words) - 1)
-        hit = words[at] == out[:-1]
-        context[1:][hit] = at[hit] + FIRST_WORD
+    context = np.empty_like(out)
+    context[1:] = out[:-1]
     context[ends - sizes + 1] = START
     return out, context, np.repeat(np.arange(n_rows), sizes)
 
 
-def _choose(docs: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the context words, and of those to spread, by their counts in a bounded sample."""
+def _runs(*keys: np.ndarray) -> np.ndarray:
+    """Where a new combination of sorted keys begins."""
+    new = np.zeros(len(keys[0]), dtype=bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _sizes(first: np.ndarray, n: int) -> np.ndarray:
+    return np.diff(np.append(first, n))
+
+
+def _learns(batch: pa.RecordBatch) -> np.ndarray:
+    return np.array(batch.column("learn").to_pylist(), dtype=bool)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            word, n = np.unique(word_hashes(*byte_view(batch.column("text")))[0], return_counts=True)
-            top = np.argsort(-n, kind="stable")[: 4 * CONTEXT_WORDS]
-            yield pa.RecordBatch.from_arrays([pa.array(word[top].view(np.int64)), pa.array(n[top])], names=["word", "n"])
 
-    place = F.xxhash64("text") / 2.0**64 + 0.5
-    sample = docs.filter(place <= min(1.0, CHOICE_ROWS / max(n_docs, 1))).select("text")
-    counts = sample.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(CONTEXT_WORDS).collect()
-    word = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
-    return np.sort(word), np.sort(word[:SPREAD_WORDS])
+def _dealt(token: np.ndarray, context: np.ndarray, shards: int) -> np.ndarray:
+    return (mix(token ^ mix(context)) % np.uint64(shards)).astype(np.int32)
 
 
-def _register(hashes: np.ndarray, registers: int) -> tuple[np.ndarray, np.ndarray]:
-    mixed = mix(hashes ^ np.uint64(0x94D049BB133111EB))
-    rest = mixed >> np.uint64(16)
-    # one more than the zeros below the lowest set bit
-    lowest = rest & (~rest + np.uint64(1))
-    return (mixed & np.uint64(registers - 1)).astype(np.int64), np.bitwise_count(lowest - np.uint64(1)).astype(np.uint8) + np.uint8(1)
+def _packed(arrays: Iterable[np.ndarray], kinds: Iterable[str]) -> list[bytes]:
+    return [x.astype(k).tobytes() for x, k in zip(arrays, kinds, strict=True)]
 
 
-def _estimate(registers: np.ndarray) -> np.ndarray:
-    """Different values behind rows of registers, with linear counting for small ones."""
-    m = registers.shape[1]
-    raw = 0.7213 / (1 + 1.079 / m) * m * m / np.exp2(-registers.astype(np.float64)).sum(axis=1)
-    empty = (registers == 0).sum(axis=1)
-    small = m * np.log(m / np.maximum(empty, 1))
-    return np.where((raw <= 2.5 * m) & (empty > 0), small, raw)
+def _batch(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, (_, k) in zip(columns, schema, strict=True)], names=[n for n, _ in schema]
+    )
+
+
+_COUNT = ["word", "per_word", "context", "n"]
+_COUNT_KINDS = ["<u8", "<u4", "<u8", "<u4"]
+_COUNTED = [("shard", pa.int32()), *[(c, pa.binary()) for c in _COUNT]]
+_FOUND = ["hash", "count", "followers"]
+_FOUND_KINDS = ["<u8", "<u8", "<u8"]
+_ASKED = [("dealt", pa.int32()), ("shard", pa.int32()), *[(c, pa.binary()) for c in _FOUND]]
+_TOTALS = ["tokens", "docs", "words"]
+_TOLD = [("shard", pa.int32()), *[(c, pa.binary()) for c in _FOUND], *[(c, pa.int64()) for c in _TOTALS]]
+
 
+def _ddl(schema: list[tuple[str, pa.DataType]]) -> str:
+    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.list_(pa.int64()): "array<long>"}
+    return ", ".join(f"{n} {names[k]}" for n, k in schema)
 
-def gather_contexts(docs: DataFrame) -> Contexts:
-    """Counts of all contexts over all training rows of (doc_id, text, learn)."""
-    n = docs.count()
-    words, spread = _choose(docs.filter("learn"), n)
-    size = len(words) + FIRST_WORD
+
+def _by_shard(rows: DataFrame, key: str, *then: str) -> DataFrame:
+    return rows.repartition(shuffle_width(rows.sparkSession), key).sortWithinPartitions(key, *then)
+
+
+def _count(docs: DataFrame, shards: int) -> DataFrame:
+    """For every chunk and shard the different pairs with their training counts, which may be 0."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(size, dtype=np.int64)
-        follow = np.zeros(size * REGISTERS, dtype=np.uint8)
-        every = np.zeros(WORD_REGISTERS, dtype=np.uint8)
-        n_docs = 0
         for batch in chunks(batches):
-            token, context, _ = tokens(*byte_view(batch.column("text")), words)
-            n_docs += batch.num_rows
-            count += np.bincount(context, minlength=size)
-            at, rank = _register(token, REGISTERS)
-            np.maximum.at(follow, context * REGISTERS + at, rank)
-            at, rank = _register(token, WORD_REGISTERS)
-            np.maximum.at(every, at, rank)
-        parts = [zlib.compress(x.tobytes(), 1) for x in (count, follow, every)]
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([n_docs]), *(pa.array([x], pa.binary()) for x in parts)], names=["part", "n", "count", "follow", "every"])
-
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"count": np.int64, "follow": np.uint8, "every": np.uint8}
-        total: dict[str, np.ndarray] = {}
-        n_docs = 0
+            token, context, row = tokens(*byte_view(batch.column("text")))
+            n = _learns(batch)[row].astype(np.int64)
+            dealt = _dealt(token, context, shards)
+            order = np.lexsort((context, token, dealt))
+            dealt, token, context, n = dealt[order], token[order], context[order], n[order]
+            at = _runs(token, context)
+            n, dealt, token, context = np.add.reduceat(n, at), dealt[at], token[at], context[at]
+            cuts = np.append(_runs(dealt), len(dealt)).tolist()
+            rows = []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                first = _runs(token[a:b])
+                arrays = (token[a:b][first], _sizes(first, b - a), context[a:b], n[a:b])
+                rows.append((int(dealt[a]), *_packed(arrays, _COUNT_KINDS)))
+            yield _batch(rows, _COUNTED)
+
+    return docs.mapInArrow(run, _ddl(_COUNTED))
+
+
+def _ask(counted: DataFrame, shards: int) -> DataFrame:
+    """For every shard its words and contexts, dealt by their hash, with what its pairs say of them:
+    training count as a context, and different followers. No other shard holds these pairs."""
+
+    def ask(shard: int, held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        word = np.concatenate([np.repeat(h[0], h[1]) for h in held])
+        context = np.concatenate([h[2] for h in held])
+        n = np.concatenate([h[3] for h in held]).astype(np.int64)
+        order = np.lexsort((context, word))
+        word, context, n = word[order], context[order], n[order]
+        at = _runs(word, context)
+        word, context, n = word[at], context[at], np.add.reduceat(n, at)
+        # the end has the count of the start
+        hashes, of = np.unique(np.concatenate([context, word]), return_inverse=True)
+        of = of[: len(context)]
+        count = np.bincount(of, weights=n, minlength=len(hashes))
+        followers = np.bincount(of, weights=n > 0, minlength=len(hashes))
+        dealt = (mix(hashes) % np.uint64(shards)).astype(np.int32)
+        order = np.argsort(dealt, kind="stable")
+        dealt, hashes, count, followers = dealt[order], hashes[order], count[order], followers[order]
+        cuts = np.append(_runs(dealt), len(dealt)).tolist()
+        yield _batch(
+            [
+                (int(dealt[a]), shard, *_packed((hashes[a:b], count[a:b], followers[a:b]), _FOUND_KINDS))
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+            ],
+            _ASKED,
+        )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        at = -1
         for batch in batches:
+            columns = [batch.column(c) for c in ("shard", *_COUNT)]
             for i in range(batch.num_rows):
-                n_docs += batch.column("n")[i].as_py()
-                for c, kind in kinds.items():
-                    own = np.frombuffer(zlib.decompress(batch.column(c)[i].as_py()), kind)
-                    total[c] = own if c not in total else total[c] + own if c == "count" else np.maximum(total[c], own)
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([n_docs]), *(pa.array([zlib.compress(total[c].tobytes(), 1)], pa.binary()) for c in kinds)], names=["part", "n", *kinds])
-
-    schema = "part int, n long, count binary, follow binary, every binary"
-    told = docs.filter("learn").select("text").mapInArrow(run, schema)
-    # two steps, so that the last task adds few
-    groups = int(shuffle_width(docs.sparkSession) ** 0.5) + 1
-    told = told.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(groups))).repartition(groups, "part").mapInArrow(add, schema)
-    rows = told.coalesce(1).mapInArrow(add, schema).collect()
-    if not rows:
-        return Contexts(words, spread, np.zeros(size), np.zeros(size), 0, 0, 0.0)
-    count, follow, every = (np.frombuffer(zlib.decompress(rows[0][c]), k) for c, k in (("count", np.int64), ("follow", np.uint8), ("every", np.uint8)))
-    return Contexts(
-        words, spread, count, _estimate(follow.reshape(size, REGISTERS)),
-        int(count.sum()), rows[0]["n"], float(_estimate(every.reshape(1, -1))[0]),
-    )
-
-
-_PAIR = ["word", "per_word", "context", "row", "n"]
-_PAIR_KINDS = ["<u8", "<u4", "<u2", "<u2", "<u4"]
-_SENT = "shard int, chunk long, learn binary, " + ", ".join(f"{c} binary" for c in _PAIR) + ", ids array<long>, sizes binary"
-_SUM = ["row", "base", "score", "known"]
-_SUM_KINDS = ["<u2", "<f8", "<f4", "<u4"]
-_SUMS = "chunk long, words long, " + ", ".join(f"{c} binary" for c in _SUM) + ", ids array<long>, sizes binary"
+                shard, *packed = (c[i].as_py() for c in columns)
+                if shard != at:
+                    yield from ask(at, held)
+                    held, at = [], shard
+                held.append([np.frombuffer(x, k) for x, k in zip(packed, _COUNT_KINDS, strict=True)])
+        yield from ask(at, held)
 
+    return _by_shard(counted, "shard").mapInArrow(run, _ddl(_ASKED))
 
-def _runs(*keys: np.ndarray) -> np.ndarray:
-    """Where a new combination of sorted keys begins."""
-    new = np.zeros(len(keys[0]), dtype=bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[1:] != k[:-1]
-    return np.flatnonzero(new)
+
+def _tell(asked: DataFrame) -> DataFrame:
+    """The sums over all shards, for every shard that asked; and, once for each hash, its share of
+    the totals."""
+
+    def tell(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        hashes, of = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True)
+        count, followers = (
+            np.bincount(of, weights=np.concatenate([h[k] for h in held])).astype(np.int64) for k in (2, 3)
+        )
+        start = hashes == START
+        # the start is counted for the end: both stand once in a document
+        totals = int(count.sum()), int(count[start].sum()), int((count > 0).sum())
+        to = 0
+        for shard, own, _, _ in held:
+            at, to = to, to + len(own)
+            arrays = (own, count[of[at:to]], followers[of[at:to]])
+            yield _batch([(shard, *_packed(arrays, _FOUND_KINDS), *totals)], _TOLD)
+            totals = 0, 0, 0
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        at = -1
+        for batch in batches:
+            columns = [batch.column(c) for c in ("dealt", "shard", *_FOUND)]
+            for i in range(batch.num_rows):
+                dealt, shard, *packed = (c[i].as_py() for c in columns)
+                if dealt != at:
+                    yield from tell(held)
+                    held, at = [], dealt
+                held.append((shard, *(np.frombuffer(x, k) for x, k in zip(packed, _FOUND_KINDS, strict=True))))
+        yield from tell(held)
+
+    return _by_shard(asked, "dealt").mapInArrow(run, _ddl(_TOLD))
+
+
+_PAIR = ["word", "per_word", "context", "per_pair", "row", "n"]
+_PAIR_KINDS = ["<u8", "<u4", "<u8", "<u4", "<u2", "<u4"]
+_SENT = [
+    ("shard", pa.int32()), ("chunk", pa.int64()), ("learn", pa.binary()), *[(c, pa.binary()) for c in _PAIR],
+    ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()),
+]
+_SUM = ["row", "base", "score", "known"]
+_SUM_KINDS = ["<u2", "<f8", "<f4", "<u4"]
+_SUMS = [("chunk", pa.int64()), *[(c, pa.binary()) for c in _SUM], ("ids", pa.list_(pa.int64())), ("sizes", pa.binary())]
 
 
-def _send(docs: DataFrame, contexts: Contexts, shards: int) -> DataFrame:
+def _send(docs: DataFrame, shards: int) -> DataFrame:
     """For every chunk and shard the pairs with their rows; and one row of ids for every chunk."""
-    shared = docs.sparkSession.sparkContext.broadcast(contexts)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         chunk = TaskContext.get().partitionId() << 40
-        names = ["shard", "chunk", "learn", *_PAIR, "ids", "sizes"]
         for batch in _small_chunks(batches):
-            token, context, row = tokens(*byte_view(batch.column("text")), known.words)
+            token, context, row = tokens(*byte_view(batch.column("text")))
             sizes = np.bincount(row, minlength=batch.num_rows).astype("<u4").tobytes()
-            order = np.lexsort((context << 16 | row, token))
-            token, context, row = token[order], context[order], row[order]
+            dealt = _dealt(token, context, shards)
+            # rows ascend already
+            order = np.lexsort((context, token, dealt))
+            dealt, token, context, row = dealt[order], token[order], context[order], row[order]
             at = _runs(token, context, row)
-            n = np.diff(np.append(at, len(token)))
-            token, context, row = token[at], context[at], row[at]
-            wide = np.isin(token, known.spread)
-            dealt = mix(token + np.where(wide, context % SPREAD + 1, 0).astype(np.uint64)) % np.uint64(shards)
-            order = np.argsort(dealt.astype(np.int32), kind="stable")
-            dealt, token, context, row, n = (x[order] for x in (dealt, token, context, row, n))
-            cuts = np.append(_runs(dealt), len(dealt))
-            learn = np.array(batch.column("learn").to_pylist(), dtype=bool)
-            bits = np.packbits(learn).tobytes()
-            rows: list[tuple] = [(chunk % shards, chunk, *[None] * 6, batch.column("doc_id").to_pylist(), sizes)]
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                first = _runs(token[a:b])
-                arrays = (token[a:b][first], np.diff(np.append(first, b - a)), context[a:b], row[a:b], n[a:b])
-                rows.append((int(dealt[a]), chunk, bits, *(x.astype(k).tobytes() for x, k in zip(arrays, _PAIR_KINDS, strict=True)), None, None))
-            columns = zip(*rows, strict=True)
-            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6, pa.list_(pa.int64()), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            n = _sizes(at, len(token))
+            dealt, token, context, row = dealt[at], token[at], context[at], row[at]
+            cuts = np.append(_runs(dealt), len(dealt)).tolist()
+            bits = np.packbits(_learns(batch)).tobytes()
+            rows: list[tuple] = [(chunk % shards, chunk, *[None] * 7, batch.column("doc_id").to_pylist(), sizes)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                pair = _runs(token[a:b], context[a:b])
+                words = token[a:b][pair]
+                first = _runs(words)
+                arrays = (words[first], _sizes(first, len(pair)), context[a:b][pair], _sizes(pair, b - a), row[a:b], n[a:b])
+                rows.append((int(dealt[a]), chunk, bits, *_packed(arrays, _PAIR_KINDS), None, None))
+            yield _batch(rows, _SENT)
             chunk += 1
 
-    return docs.mapInArrow(run, _SENT)
+    return docs.mapInArrow(run, _ddl(_SENT))
 
 
-def _answer(sent: DataFrame, contexts: Contexts) -> DataFrame:
-    """Sums of every chunk's rows from each shard's trie, and the number of words of the shard."""
-    shared = sent.sparkSession.sparkContext.broadcast(contexts)
+def _answer(sent: DataFrame, told: DataFrame, totals: Totals) -> DataFrame:
+    """Sums of every chunk's rows from each shard's trie."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        found: list[list[np.ndarray]] = []
         at = None
         for batch in batches:
             documents = batch.filter(pc.is_valid(batch.column("ids")))
             if documents.num_rows:
                 n = documents.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [documents.column("chunk"), pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.binary())] * 4, documents.column("ids"), documents.column("sizes")],
-                    names=["chunk", "words", *_SUM, "ids", "sizes"],
+                    [documents.column("chunk"), *[pa.nulls(n, pa.binary())] * 4, documents.column("ids"), documents.column("sizes")],
+                    names=[c for c, _ in _SUMS],
                 )
             batch = batch.filter(pc.is_null(batch.column("ids")))
-            columns = [batch.column(c) for c in ("shard", "chunk", "learn", *_PAIR)]
+            columns = [batch.column(c) for c in ("shard", "chunk", "learn", *_PAIR, *_FOUND)]
             for i in range(batch.num_rows):
                 shard, chunk, learn, *packed = (c[i].as_py() for c in columns)
                 if shard != at:
-                    yield from shard_sums(held, shared.value)
-                    held, at = [], shard
-                word, per_word, context, row, n = (np.frombuffer(x, k) for x, k in zip(packed, _PAIR_KINDS, strict=True))
-                known = np.unpackbits(np.frombuffer(learn, np.uint8)).astype(bool)
-                held.append((chunk, word, per_word, context, row, n, known))
-        yield from shard_sums(held, shared.value)
-
-    width = shuffle_width(sent.sparkSession)
-    return sent.repartition(width, "shard").sortWithinPartitions("shard").mapInArrow(run, _SUMS)
-
-
-def build_shard(held: list[tuple], known: Contexts) -> tuple[Trie, np.ndarray, np.ndarray]:
-    """The trie of a shard, and the training counts of its words, ascending by word."""
+                    yield from shard_sums(held, found, totals)
+                    held, found, at = [], [], shard
+                pairs, words = packed[: len(_PAIR)], packed[len(_PAIR) :]
+                if learn is None:
+                    found.append([np.frombuffer(x, k) for x, k in zip(words, _FOUND_KINDS, strict=True)])
+                    continue
+                knows = np.unpackbits(np.frombuffer(learn, np.uint8)).astype(bool)
+                held.append((chunk, *(np.frombuffer(x, k) for x, k in zip(pairs, _PAIR_KINDS, strict=True)), knows))
+        yield from shard_sums(held, found, totals)
+
+    told = told.select("shard", F.lit(-1).cast("long").alias("chunk"), *_FOUND)
+    both = sent.unionByName(told, allowMissingColumns=True)
+    return _by_shard(both, "shard", "chunk").mapInArrow(run, _ddl(_SUMS))
+
+
+def build_shard(held: list[tuple], known: Known) -> Trie:
+    """The trie of a shard; contexts are numbered by their place among the shard's hashes."""
     word = np.concatenate([np.repeat(h[1], h[2]) for h in held])
-    context = np.concatenate([h[3] for h in held]).astype(np.int64)
-    n = np.concatenate([h[5] * h[6][h[4]] for h in held]).astype(np.int64)
+    context = np.concatenate([h[3] for h in held])
+    # every pair has a row
+    n = np.concatenate([np.add.reduceat(h[6] * h[7][h[5]], np.cumsum(h[4], dtype=np.int64) - h[4]) for h in held]).astype(np.int64)
     taught = n > 0
-    word, context, n = word[taught], context[taught], n[taught]
+    word, context, n = word[taught], known.at(context[taught]), n[taught]
     order = np.lexsort((context, word))
     word, context, n = word[order], context[order], n[order]
     at = _runs(word, context)
     pair = np.add.reduceat(n, at) if len(n) else n
     word, context = word[at], context[at]
     first = _runs(word)
-    count = np.add.reduceat(pair, first) if len(pair) else pair
     words = word[first]
-    first = np.append(first, len(word))
-    p = pair + known.followers[context] * np.repeat(known.base(_whole(words, count, known)), np.diff(first))
+    base = np.repeat(known.totals.base(known.word_count(words)), _sizes(first, len(word)))
+    p = pair + known.followers[context] * base
     log_p = np.log10(p / (known.count[context] + known.followers[context]))
-    return Trie.mapped(Trie.build(words, first, context, log_p, len(known.count))), words, count
-
+    return Trie.mapped(Trie.build(words, np.append(first, len(word)), context, log_p, len(known.hashes)))
 
-def _whole(words: np.ndarray, count: np.ndarray, known: Contexts) -> np.ndarray:
-    """Training counts; of spread words and the end the count as a context, which covers all shards."""
-    count = count.astype(np.float64)
-    if len(known.spread) and len(known.words):
-        wide = np.isin(words, known.spread)
-        count[wide] = known.count[np.searchsorted(known.words, words[wide]) + FIRST_WORD]
-    count[words == END] = known.n_docs
-    return count
 
-
-def shard_sums(held: list[tuple], known: Contexts) -> Iterator[pa.RecordBatch]:
+def shard_sums(held: list[tuple], found: list[list[np.ndarray]], totals: Totals) -> Iterator[pa.RecordBatch]:
     if not held:
         return
-    trie, words, count = build_shard(held, known)
-    whole = _whole(words, count, known)
-    # a spread word is counted by the shard of its smallest share alone
-    own_words = int((~np.isin(words, known.spread)).sum())
-    for i, (chunk, word, per_word, context, row, n, _) in enumerate(held):
+    hashes, count, followers = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(hashes)
+    known = Known(hashes[order], count[order].astype(np.int64), followers[order].astype(np.int64), totals)
+    trie = build_shard(held, known)
+    for chunk, word, per_word, context, per_pair, row, n, _ in held:
         rank = trie.find_words(word)
-        c = np.where(rank >= 0, whole[np.maximum(rank, 0)] if len(whole) else 0.0, 0.0)
-        if len(known.spread):
-            wide = np.isin(word, known.spread)
-            c[wide] = known.count[np.searchsorted(known.words, word[wide]) + FIRST_WORD]
+        c = known.word_count(word)
         of = np.repeat(np.arange(len(word)), per_word)
-        context = context.astype(np.int64)
-        # pairs come once for each row they are in, side by side
-        first = _runs(of, context)
-        log_p = trie.log_p(rank, of[first], context[first])
-        f, total = known.followers[context[first]], known.count[context[first]]
-        base = known.base(c)[of[first]]
+        place = known.at(context)
+        log_p = trie.log_p(rank, of, place)
+        f, total = known.followers[place], known.count[place]
         unseen = np.isnan(log_p)
         share = np.where(total[unseen] > 0, f[unseen] / np.maximum(total[unseen] + f[unseen], 1), 1.0)
-        log_p[unseen] = np.log10(share * base[unseen])
-        log_p = np.repeat(log_p, np.diff(np.append(first, len(of))))
+        log_p[unseen] = np.log10(share * totals.base(c)[of[unseen]])
+        log_p, of = np.repeat(log_p, per_pair), np.repeat(of, per_pair)
         rows, at = np.unique(row, return_inverse=True)
         add = lambda x: np.bincount(at, weights=x, minlength=len(rows))
         sums = (rows, add(n * np.log10(c + ADD)[of]), add(n * log_p), add(n * (c > 0)[of]))
-        packed = [pa.array([x.astype(k).tobytes()], pa.binary()) for x, k in zip(sums, _SUM_KINDS, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk]), pa.array([own_words if i == 0 else 0]), *packed, pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.binary())],
-            names=["chunk", "words", *_SUM, "ids", "sizes"],
-        )
+        yield _batch([(chunk, *_packed(sums, _SUM_KINDS), None, None)], _SUMS)
 
 
 def _add_up(sums: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, n_known, base, score): the sums of all shards for every document; and for
-    every task a row with the words of its shards alone."""
-    schema = "doc_id long, n_tokens long, n_known long, base double, score double, words long"
+    """(doc_id, n_tokens, n_known, base, score): the sums of all shards for every document."""
+    schema = "doc_id long, n_tokens long, n_known long, base double, score double"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, sizes, parts = None, [], b"", []
@@ -343,14 +393,11 @@ def _add_up(sums: DataFrame) -> DataFrame:
             base, score, known = total
             if n:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(np.frombuffer(sizes, "<u4").astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), pa.nulls(n, pa.int64())],
-                    names=names,
+                    [pa.array(ids, pa.int64()), pa.array(np.frombuffer(sizes, "<u4").astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
+                    names=["doc_id", "n_tokens", "n_known", "base", "score"],
                 )
 
-        names = ["doc_id", "n_tokens", "n_known", "base", "score", "words"]
-        words = 0
         for batch in batches:
-            words += pc.sum(batch.column("words")).as_py() or 0
             columns = [batch.column(c) for c in ("chunk", "ids", "sizes", *_SUM)]
             for i in range(batch.num_rows):
                 chunk, own, size, *packed = (c[i].as_py() for c in columns)
@@ -362,30 +409,23 @@ def _add_up(sums: DataFrame) -> DataFrame:
                 else:
                     parts.append([np.frombuffer(x, k) for x, k in zip(packed, _SUM_KINDS, strict=True)])
         yield from flush()
-        nothing = [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.float64())] * 2
-        yield pa.RecordBatch.from_arrays([*nothing, pa.array([words], pa.int64())], names=names)
 
-    width = shuffle_width(sums.sparkSession)
-    return sums.repartition(width, "chunk").sortWithinPartitions("chunk").mapInArrow(run, schema)
+    return _by_shard(sums, "chunk").mapInArrow(run, schema)
 
 
 def score(docs: DataFrame) -> DataFrame:
     """n_tokens, n_known, train_tokens, base_score and score of each of (doc_id, text, learn)."""
-    spark = docs.sparkSession
-    contexts = gather_contexts(docs)
-    shards = 2 * shuffle_width(spark)
-    sums = materialise(_add_up(_answer(_send(docs, contexts, shards), contexts)), "sums")
-    n_words = sums.agg(F.sum("words")).first()[0] or 0
-    if len(contexts.spread):
-        at = np.searchsorted(contexts.words, contexts.spread) + FIRST_WORD
-        n_words += int((contexts.count[at] > 0).sum())
-    whole = float(np.log10(contexts.n_tokens + ADD * (n_words + 1)))
-    return sums.filter("words IS NULL").select(
+    shards = 2 * shuffle_width(docs.sparkSession)
+    told = materialise(_tell(_ask(_count(docs, shards), shards)), "words")
+    found = told.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in _TOTALS]).first()
+    totals = Totals(*found)
+    sums = _add_up(_answer(_send(docs, shards), told, totals))
+    return sums.select(
         "doc_id",
         "n_tokens",
         "n_known",
-        F.lit(contexts.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") - F.col("n_tokens") * whole).alias("base_score"),
+        F.lit(totals.n_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * float(np.log10(totals.whole))).alias("base_score"),
         "score",
     )
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from loanlens.llm import components as comp
-from loanlens.llm import jaccard_join, language, packing, personal_data, subwords, suffix_dedup, toxicity
+from loanlens.llm import jaccard_join, language, ngram_model, packing, personal_data, subwords, suffix_dedup, toxicity
 from loanlens.llm.arrays import shingle_hashes, word_hashes
 from loanlens.llm.elias_fano import EliasFano, Trie
 
@@ -49,6 +51,31 @@ def test_trie_finds_pairs_within_their_word():
     assert got[[0, 3]] == pytest.approx([-4, -1], abs=0.02)
 
 
+def test_every_word_is_a_context(spark):
+    rng = random.Random(3)
+    # each rare word has its own follower, 6,000 of them
+    texts = [" ".join(f"a{i} b{i} the w{rng.randint(0, 40)}" for i in range(k, k + 60)) for k in range(0, 6_000, 60)]
+    rows = [(i, t, i % 10 > 0) for i, t in enumerate(texts + texts[:50] + ["a17 b17 the a5 zz b5", "", "the the"])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    got = {r["doc_id"]: r for r in ngram_model.score(frame.repartition(3)).collect()}
+    said = {i: ["<s>", *t.split(), "</s>"] for i, t, _ in rows}
+    pairs = Counter(p for i, _, learn in rows if learn for p in zip(said[i], said[i][1:], strict=False))
+    total, count, follow = Counter(), Counter(), Counter()
+    for (c, w), n in pairs.items():
+        total[c] += n
+        count[w] += n
+        follow[c] += 1
+    whole = sum(total.values()) + ngram_model.ADD * (len(count) + 1)
+    for i, own in said.items():
+        want = 0.0
+        for c, w in zip(own, own[1:], strict=False):
+            base = (count[w] + ngram_model.ADD) / whole
+            want += math.log10((pairs[c, w] + follow[c] * base) / (total[c] + follow[c]) if total[c] else base)
+        # one byte holds a probability
+        assert got[i]["score"] == pytest.approx(want, abs=0.015 * (len(own) - 1))
+        assert got[i]["base_score"] == pytest.approx(sum(math.log10((count[w] + ngram_model.ADD) / whole) for w in own[1:]))
+
+
 def test_segments_match_their_definition():
     """Every maximal segment by divide and conquer: best run, then the same left and right of it."""
 
