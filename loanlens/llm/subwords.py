@@ -2,17 +2,19 @@
 
 Text is encoded by merging neighbouring pieces: an agenda holds every pair of neighbours that forms
 a piece of the vocabulary, best score first, then the leftmost; a merge adds the pairs with the new
-neighbours. Each candidate is skipped when a keyed hash of the seed, the stream of the document,
-the run of characters and the candidate's place falls under the dropout rate. Equal keys give
-equal results, on any machine and in any order; other seeds and streams give other segmentations.
+neighbours. Each candidate, a piece at a place of the text, is skipped when a keyed hash of the seed,
+the stream of the document and the candidate's number in the text falls under the dropout rate: a
+word is drawn anew wherever it stands. Equal keys give equal results, on any machine and in any
+order; other seeds and streams give other segmentations.
 Blanks are part of pieces, characters outside the vocabulary become byte pieces, and so do marks in
 the text that stand for a blank in pieces: decoding gives back the text exactly.
 
 Pieces of this vocabulary never cross from a non-blank to a blank, so the agenda runs over one
-word with the blanks before it at a time; a worker keeps the results of runs it has met.
+word with the blanks before it at a time. The ids of a part depend on the part and on which of its
+candidates are skipped alone, so a worker keeps them by both.
 
 Defined results: null text is encoded as the empty text, without ids; equal rows are encoded each,
-by the stream of their id; a null id has stream 0; other columns are not read.
+by the stream of their id, a 64-bit hash; a null id has stream 0; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,19 +30,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm.arrays import chunks
+from loanlens.llm.arrays import chunks, mix
 from loanlens.llm.frames import table, texts
 
 SEED = 17
 DROPOUT = 0.1
-#: Different segmentations of a word that documents are dealt to by a hash of their id.
-STREAMS = 2
-#: Runs whose ids a worker keeps; beyond that it starts afresh.
+#: Runs, and parts with skipped candidates, whose ids a worker keeps; beyond that it starts afresh.
 CACHE_RUNS = 250_000
 BLANK = "▁"
 #: A word with the blanks before it, or the blanks at the end.
 _RUNS = re.compile(" *[^ ]+| +")
 _LIMIT = 1 << 64
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Vocabulary:
@@ -63,28 +64,37 @@ class Vocabulary:
         self.mark = np.array([self.bytes[b] for b in BLANK.encode()], dtype="<u4").tobytes()
         #: Neighbouring characters within pieces: no merge joins any others.
         self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
-        self.known: dict[tuple[int, str], bytes] = {}
-        self.parts: dict[tuple[int, str], bytes] = {}
+        self.longest = max(map(len, self.pieces), default=0)
+        self.known: dict[str, list[tuple[str, int, bytes]]] = {}
+        self.skipped: dict[tuple[str, bytes], bytes] = {}
+
+    def candidates(self, run: str) -> list[tuple[int, str]]:
+        """All places and pieces of a run that a merge may form."""
+        scores, n = self.scores, len(run)
+        found = []
+        for left in range(n - 1):
+            for end in range(left + 2, min(left + self.longest, n) + 1):
+                if run[left:end] in scores:
+                    found.append((left, run[left:end]))
+        return found
 
-    def encode_run(self, run: str, key: int, dropout: float) -> list[int]:
-        """Ids of a run of characters in which blanks are written as BLANK."""
+    def encode_run(self, run: str, skip: frozenset[tuple[int, str]] = frozenset()) -> list[int]:
+        """Ids of a run of characters in which blanks are written as BLANK, without the candidates
+        to skip."""
         symbols = list(run)
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         after[-1:] = [-1]
         agenda: list[tuple[float, int, str]] = []
         scores = self.scores
-        limit = int(dropout * _LIMIT)
 
         def propose(left: int, right: int) -> None:
             piece = symbols[left] + symbols[right]
             score = scores.get(piece)
             if score is None:
                 return
-            if limit:
-                # a candidate is a piece at a place of its run
-                if xxhash.xxh3_64_intdigest(piece, key + left & _LIMIT - 1) < limit:
-                    return
+            if (left, piece) in skip:
+                return
             heapq.heappush(agenda, (-score, left, piece))
 
         for i in range(n - 1):
@@ -119,20 +129,42 @@ class Vocabulary:
         known = self.known
         if len(known) > CACHE_RUNS:
             known.clear()
-            self.parts.clear()
-        out = []
+        if len(self.skipped) > CACHE_RUNS:
+            self.skipped.clear()
+        parts: list[tuple[str, int, bytes]] = []
         for run in _RUNS.findall(" " + text):
-            found = known.get((stream, run))
+            found = known.get(run)
             if found is None:
-                # a mark in the text that stands for a blank in pieces becomes bytes
-                found = self.mark.join(
-                    b"".join([self._part(stream, p, seed, dropout) for p in self._parts(x.replace(" ", BLANK))])
-                    for x in run.split(BLANK)
-                )
-                known[(stream, run)] = found
-            out.append(found)
+                known[run] = found = self._run(run)
+            parts += found
+        out = [p[2] for p in parts]
+        ends = np.cumsum([p[1] for p in parts])
+        drop = dropped(int(ends[-1]), stream, seed, dropout)
+        before = np.concatenate([[0], np.cumsum(drop)])[np.concatenate([[0], ends])]
+        for i in np.flatnonzero(np.diff(before)).tolist():
+            part, n, _ = parts[i]
+            out[i] = self._skipping(part, drop[ends[i] - n : ends[i]].tobytes())
         return b"".join(out)
 
+    def _run(self, run: str) -> list[tuple[str, int, bytes]]:
+        """The parts of a run, the number of their candidates, and their ids where none is skipped."""
+        out: list[tuple[str, int, bytes]] = []
+        for i, x in enumerate(run.split(BLANK)):
+            if i:
+                # a mark in the text that stands for a blank in pieces becomes bytes
+                out.append(("", 0, self.mark))
+            for part in self._parts(x.replace(" ", BLANK)):
+                ids = np.array(self.encode_run(part), dtype="<u4").tobytes()
+                out.append((part, len(self.candidates(part)), ids))
+        return out
+
+    def _skipping(self, part: str, drop: bytes) -> bytes:
+        found = self.skipped.get((part, drop))
+        if found is None:
+            skip = frozenset(c for c, d in zip(self.candidates(part), drop, strict=True) if d)
+            self.skipped[part, drop] = found = np.array(self.encode_run(part, skip), dtype="<u4").tobytes()
+        return found
+
     def _parts(self, run: str) -> list[str]:
         """The run cut where no merge can join: neighbours that no piece holds side by side."""
         pairs, out, start = self.pairs, [], 0
@@ -142,19 +174,20 @@ class Vocabulary:
                 start = i
         return [*out, run[start:]] if run else []
 
-    def _part(self, stream: int, part: str, seed: int, dropout: float) -> bytes:
-        found = self.parts.get((stream, part))
-        if found is None:
-            key = xxhash.xxh3_64_intdigest(f"{seed} {stream} {part}")
-            ids = self.encode_run(part, key, dropout)
-            self.parts[(stream, part)] = found = np.array(ids, dtype="<u4").tobytes()
-        return found
-
     def decode(self, ids: Iterable[int]) -> str:
         """The text, without the blank put in front."""
         return b"".join(map(self.of.__getitem__, ids)).decode("utf-8", errors="replace")[1:]
 
 
+def dropped(n: int, stream: int, seed: int, dropout: float) -> np.ndarray:
+    """Which of the n candidates of a text are skipped."""
+    limit = int(dropout * _LIMIT)
+    if limit <= 0 or limit >= _LIMIT:
+        return np.full(n, limit > 0)
+    key = np.uint64(xxhash.xxh3_64_intdigest(f"{seed} {stream}"))
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _STEP + key) < np.uint64(limit)
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str, seed: int, dropout: float) -> Vocabulary:
     """One for each setting, as the runs it keeps belong to the setting."""
@@ -184,7 +217,7 @@ def encode(docs: DataFrame, seed: int = SEED, dropout: float = DROPOUT, path: st
             decoded = [v.decode(flat[a:b].tolist()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
-    stream = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(STREAMS)), F.lit(0)).cast("int")
+    stream = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.xxhash64("doc_id", F.lit(seed)))
     sent = texts(docs).withColumn("stream", stream)
     return sent.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 

@@ -263,6 +263,31 @@ def test_merge_dropout(dropout):
         assert len(kinds) > 1 and all(other.decode(np.frombuffer(k, "<u4").tolist()) == long for k in kinds)
 
 
+def test_dropout_draws_a_word_anew_wherever_it_stands(spark):
+    rows = [(i, "interesting " * 50) for i in range(60)]
+    got = subwords.encode(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["decoded"] == rows[0][1] for r in got)
+    assert len({tuple(r["ids"]) for r in got}) == len(rows)
+    v = subwords.Vocabulary(subwords.default_vocabulary())
+    word = subwords.BLANK + "interesting"
+    (_, n, plain), *rest = v._run(" interesting")
+    assert not rest and n == len(v.candidates(word))
+    seen = Counter()
+    for r in got:
+        text = v.encode(rows[0][1], r["doc_id"])
+        assert v.decode(np.frombuffer(text, "<u4").tolist()) == rows[0][1]
+        at = 0
+        drop = subwords.dropped(50 * n, r["doc_id"], subwords.SEED, subwords.DROPOUT)
+        for k in range(50):
+            own = v._skipping(word, drop[k * n : k * n + n].tobytes())
+            assert text[at : at + len(own)] == own
+            seen[own] += 1
+            at += len(own)
+    assert len(seen) > 10 and seen[plain] >= sum(seen.values()) * 0.9**n * 0.8
+    drops = subwords.dropped(100_000, 3, 5, 0.1)
+    assert 0.095 < drops.mean() < 0.105 and 0.008 < (drops[1:] & drops[:-1]).mean() < 0.012
+
+
 def test_stages_keep_columns_and_clean_documents(spark, docs, rows, sf_dir):
     import corpus_pipeline
 
