@@ -11,9 +11,8 @@ from loanlens.operators import drift, features
 from loanlens.operators.attribution import attributions, importance
 from loanlens.operators.models import (
     SCORE,
+    SPACES,
     FittedModel,
-    fit_family,
-    training_frame,
 )
 from loanlens.operators.project import align_features, sanitise_numbers, split_by_year
 from loanlens.operators.scoring import infer, prepare_features, score_rows
@@ -290,7 +289,7 @@ def score_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Models: results are checked by rows and by tests, SQL cannot say them.
 
-# Small settings of the search space, so that a run on a small machine ends soon.
+# Small settings for the tests of the operators; no query uses them.
 SMALL = {
     "logistic_regression": {"C": [0.01, 1.0], "class_weight": [None], "max_iter": [100]},
     "decision_tree": {
@@ -339,16 +338,9 @@ def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_by_year(rows, V.TRAIN_UNTIL, V.TEST_FROM)
 
 
-def _one(family: str) -> dict:
-    return {name: values[0] for name, values in SMALL[family].items()}
-
-
 def _fit(train: DataFrame, family: str) -> FittedModel:
-    frame = training_frame(train, ALL, "default").persist()
-    try:
-        return fit_family(family, frame, ALL, _one(family))
-    finally:
-        frame.unpersist()
+    """The refit winner among five draws from the family's full space."""
+    return train_search(train.select(ID, "default", *ALL), models=[family]).model
 
 
 def _train_query(family: str):
@@ -359,15 +351,14 @@ def _train_query(family: str):
     return build
 
 
-for _family in SMALL:
+for _family in SPACES:
     query(f"q_train_{_family}")(_train_query(_family))
 
 
 @query("q_search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _split(V.stored_features(spark, sf_dir))
-    found = train_search(train, n_iter=2, spaces=SMALL)
-    return found.results
+    return train_search(train).results
 
 
 @query("q_evaluate")
@@ -390,7 +381,7 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_importance")
 def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _split(V.stored_features(spark, sf_dir))
-    phi = attributions(test, _fit(train, "decision_tree"), ID, sample_size=200, background_size=20)
+    phi = attributions(test, _fit(train, "decision_tree"), ID)
     return importance(phi).orderBy(F.desc("mean_abs_shap"), "feature").limit(15)
 
 

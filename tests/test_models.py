@@ -303,3 +303,48 @@ def test_label_only_model_has_null_probability(points):
     model = FittedModel("linear_svc", NAMES, stages.fit(train), [])
     rows = infer(points, model).collect()
     assert {r[SCORE] for r in rows} == {None} and {r["prediction"] for r in rows} == {0, 1}
+
+
+def test_model_queries_draw_from_the_full_spaces(monkeypatch):
+    import inspect
+    from types import SimpleNamespace
+
+    from loanlens.operators.models import SPACES
+    from loanlens.plans import QUERIES, model_queries
+
+    class Stop(Exception):
+        pass
+
+    def record(*args, **kwargs):
+        calls.append(kwargs)
+        raise Stop
+
+    class Rows:
+        def __getattr__(self, name):
+            return lambda *args, **kwargs: self
+
+    calls: list[dict] = []
+    full = {k: p.default for k, p in inspect.signature(train_search).parameters.items()}
+    shown = {k: p.default for k, p in inspect.signature(model_queries.attributions).parameters.items()}
+    assert full["spaces"] is SPACES and full["n_iter"] == 5
+    assert (shown["sample_size"], shown["background_size"]) == (500, 50)
+    monkeypatch.setattr(model_queries, "train_search", record)
+    rows = Rows()
+    rows.TRAIN_UNTIL = 0
+    monkeypatch.setattr(model_queries, "V", rows)
+    monkeypatch.setattr(model_queries, "_split", lambda rows: (rows, rows))
+    monkeypatch.setattr(model_queries, "features", Rows())
+    monkeypatch.setattr(model_queries, "fresh_path", lambda *args: "model")
+    monkeypatch.setattr(model_queries, "F", SimpleNamespace(col=lambda name: 0))
+    names = ["q_search", "q_evaluate", "q_model_store", "q_importance", *[f"q_train_{f}" for f in SPACES]]
+    for name in names:
+        with pytest.raises(Stop):
+            QUERIES[name].build(None, "")
+    assert [c.get("models") for c in calls[4:]] == [[f] for f in SPACES]
+    # every other setting is the operator's own
+    assert all(set(c) <= {"models"} for c in calls) and "models" not in calls[0]
+    monkeypatch.setattr(model_queries, "_fit", lambda *args: None)
+    monkeypatch.setattr(model_queries, "attributions", record)
+    with pytest.raises(Stop):
+        QUERIES["q_importance"].build(None, "")
+    assert calls[-1] == {}
