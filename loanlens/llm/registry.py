@@ -19,6 +19,9 @@ MODULES = {
     "op8_jaccard_join": "jaccard_join",
     "op9_packing": "packing",
     "op10_imatch": "imatch",
+    "op11_line_blocks": "line_blocks",
+    "op12_conversation_repair": "conversation_repair",
+    "op13_token_alignment": "token_alignment",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
