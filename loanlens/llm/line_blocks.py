@@ -116,8 +116,7 @@ def _marked(name: str, rest: str) -> bool:
 class _Stripper:
     """Lines of one page; open elements are a stack, so that end tags may be missing."""
 
-    def __init__(self, hints: bool):
-        self.hints = hints
+    def __init__(self) -> None:
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.weight = 0
@@ -176,7 +175,7 @@ class _Stripper:
             while self.unread and any(self.open[x] for x in ("nav", "header", "menu", "head")):
                 self.pop()
         unread = name in UNREAD or (name == "header" and not self.main)
-        unread = unread or (self.hints and bool(rest) and _marked(name, rest))
+        unread = unread or (bool(rest) and _marked(name, rest))
         if name == "body":
             self.close("head")
         self.stack.append((name, unread, main and not unread))
@@ -192,9 +191,9 @@ class _Stripper:
             self.blank()
 
 
-def page_lines(html: str, hints: bool = True) -> list[Line]:
+def page_lines(html: str) -> list[Line]:
     """The page without markup, a line for every block and an empty one for every container's edge."""
-    strip, pattern, at = _Stripper(hints), _STRICT, 0
+    strip, pattern, at = _Stripper(), _STRICT, 0
     while found := pattern.search(html, at):
         if pattern is _STRICT and found["loose"]:
             pattern = _LOOSE
@@ -252,8 +251,6 @@ def passages(weights: Sequence[int], window: int = WINDOW, surge: float = SURGE)
 def extract(html: str) -> tuple[str, int, int]:
     """Main text, its number of lines and of passages."""
     lines = page_lines(html)
-    if not any(line.text for line in lines):
-        lines = page_lines(html, hints=False)
     inside = any(line.in_main for line in lines)
     weights = [line.weight if line.in_main or not inside else 0 for line in lines]
     runs = passages(weights)

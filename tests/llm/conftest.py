@@ -51,18 +51,55 @@ def labels(spark, rows):
     return spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
 
 
+def page(title: str, *body: str) -> str:
+    """A page as those of the table are: menu, advert, article and footer, some end tags missing."""
+    return (
+        f"<!DOCTYPE html><html><head><title>{title}</title><style>p{{margin:0}}</style>"
+        '<script>var t="</p>";track(0);</script></head><body><nav><ul><li><a href="/x">menu</a></li></ul></nav>'
+        f'<!-- ad --><div class="ad">Buy this now.</div><article><h1>{title}</h1>{"".join(body)}</article>'
+        "<footer>&copy; here</footer>"
+    )
+
+
+@pytest.fixture(scope="session")
+def pages(spark):
+    prose = "Words of an article that go on &amp; on, with a <b>bold</b> one"
+    html = [None, "", "<p></p>", page("One", f"<p><b>{prose}.<br><p>{prose}\n  twice.</p>"), page("R&amp"), page("")]
+    html += [page("Long", *[f"<p>{prose} {i}.</p>" for i in range(40_000)]), html[3]]
+    rows = [(i * 3, f"u{i}", t, "clash") for i, t in enumerate(html)] + [(None, None, html[3], None), (0, "u0", None, "")]
+    return spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+
+
+@pytest.fixture(scope="session")
+def conversations(spark):
+    """Rows of every fault, conversations of one row to thousands, null ids, turns, roles and texts."""
+    rng = random.Random(11)
+    roles = ["system", "user", "assistant", "tool", None, "User", "", "user", "assistant"]
+    said = ["Yes.", "no", "Really?", "", None, " \t", "Go on!  \n", "x" * 50_000 + ".", "Ça va… bien", "done."]
+    rows = []
+    for conv in [None, *range(60)]:
+        for turn in range(rng.choice([1, 1, 2, 3, 5, 8, 12])):
+            own = rng.choice([turn, turn, turn, turn + 2, None, 0])
+            rows.append((conv, own, rng.choice(roles), rng.choice(said) if rng.random() < 0.4 else f"said {rng.random()}."))
+    for turn in range(9000):
+        rows.append((1000, turn, ["user", "assistant"][turn % 2] if rng.random() < 0.9 else "system", f"turn {turn % 4000}."))
+    rows = [(c, t, r, x, 7, "clash") for c, t, r, x in rows]
+    return spark.createDataFrame(rows + rows[:20], "conv_id long, turn long, role string, text string, copies int, kind string")
+
+
 @pytest.fixture(scope="session")
-def sf_dir(spark, docs, labels, tmp_path_factory):
-    """The documents and labels as tables, as a query reads them."""
+def sf_dir(spark, docs, labels, pages, conversations, tmp_path_factory):
+    """The tables as a query reads them."""
     folder = tmp_path_factory.mktemp("tables")
-    docs.write.parquet(f"{folder}/documents.parquet")
-    labels.write.parquet(f"{folder}/labels.parquet")
+    for name, rows in (("documents", docs), ("labels", labels), ("pages", pages), ("conversations", conversations)):
+        rows.write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
 
 @pytest.fixture(scope="session")
-def empty_dir(spark, empty, labels, tmp_path_factory):
+def empty_dir(spark, empty, labels, pages, conversations, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
     empty.write.parquet(f"{folder}/documents.parquet")
-    labels.limit(0).write.parquet(f"{folder}/labels.parquet")
+    for name, rows in (("labels", labels), ("pages", pages), ("conversations", conversations)):
+        rows.limit(0).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
