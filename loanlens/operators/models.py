@@ -1,38 +1,29 @@
-"""Six classifier families on Spark ML, with save and load."""
+"""Six classifier families, logistic regression on Spark ML and trees on binned tables, with save and load."""
 
 from __future__ import annotations
 
-import itertools
 import json
 import math
 import random
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.operators.features import class_weights
 from loanlens.operators.bounded import attach
+from loanlens.operators.features import class_weights
 from loanlens.operators.project import align_features, sanitise_numbers
+from loanlens.operators.tree_training import BinnedTable, Candidate, TreeModel, bin_table, fit_trees
+from loanlens.operators.trees import Boosting, Forest
 
 SCORE = "probability_default"
-DEEPEST = 30
-GROUPS = 4
-CUTS = 32
 
-# The search space per family.  Knobs and values Spark ML has no counterpart for
-# (solver, minimum split size, l2 of boosted trees, depth beyond DEEPEST, weights per tree) are
-# left out.
+# The search space per family.
 SPACES: dict[str, dict[str, list]] = {
     "logistic_regression": {
         "C": [10 ** (-3 + 5 * i / 29) for i in range(30)],
@@ -41,7 +32,8 @@ SPACES: dict[str, dict[str, list]] = {
     },
     "decision_tree": {
         "criterion": ["gini", "entropy"],
-        "max_depth": [None, 3, 5, 10, 20],
+        "max_depth": [None, 3, 5, 10, 20, 40],
+        "min_samples_split": [2, 5, 10, 25, 50],
         "min_samples_leaf": [1, 2, 5, 10, 25, 50],
         "max_features": [None, "sqrt", "log2", 0.5],
         "class_weight": [None, "balanced"],
@@ -49,16 +41,18 @@ SPACES: dict[str, dict[str, list]] = {
     "random_forest": {
         "n_estimators": [200, 400, 600, 800],
         "criterion": ["gini", "entropy"],
-        "max_depth": [None, 5, 10, 20],
+        "max_depth": [None, 5, 10, 20, 40],
+        "min_samples_split": [2, 5, 10, 25],
         "min_samples_leaf": [1, 2, 5, 10, 25],
         "max_features": ["sqrt", "log2", None, 0.5],
         "bootstrap": [True, False],
-        "class_weight": [None, "balanced"],
+        "class_weight": [None, "balanced", "balanced_subsample"],
     },
     "extra_trees": {
         "n_estimators": [200, 400, 600, 800],
         "criterion": ["gini", "entropy"],
-        "max_depth": [None, 5, 10, 20],
+        "max_depth": [None, 5, 10, 20, 40],
+        "min_samples_split": [2, 5, 10, 25],
         "min_samples_leaf": [1, 2, 5, 10, 25],
         "max_features": ["sqrt", "log2", None, 0.5],
         "bootstrap": [False, True],
@@ -68,6 +62,7 @@ SPACES: dict[str, dict[str, list]] = {
         "n_estimators": [100, 200, 400, 600],
         "learning_rate": [0.01, 0.03, 0.05, 0.1, 0.2],
         "max_depth": [2, 3, 4, 5],
+        "min_samples_split": [2, 5, 10, 25],
         "min_samples_leaf": [1, 2, 5, 10, 25, 50],
         "subsample": [0.6, 0.8, 1.0],
         "max_features": [None, "sqrt", "log2"],
@@ -78,13 +73,16 @@ SPACES: dict[str, dict[str, list]] = {
         "max_depth": [None, 3, 5, 10],
         "max_leaf_nodes": [15, 31, 63, 127],
         "min_samples_leaf": [10, 20, 50, 100],
+        "l2_regularization": [0.0, 0.01, 0.1, 1.0],
     },
 }
+#: Families whose candidates are grown together over one binned table.
+TREE_FAMILIES = ("decision_tree", "random_forest", "extra_trees", "gradient_boosting", "hist_gradient_boosting")
 
 
 @dataclass(frozen=True)
 class FittedModel:
-    """A fitted family with everything needed to score aligned features."""
+    """Fitted stages of Spark ML with everything needed to score aligned features."""
 
     family: str
     features: list[str]
@@ -132,8 +130,11 @@ class FittedModel:
         row.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> FittedModel:
+    def load(spark: SparkSession, path: str) -> FittedModel | TreeModel:
+        """The model saved at a path, of whatever kind."""
         values = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+        if values.get("kind") == "trees":
+            return TreeModel.load(path, values)
         return FittedModel(stages=PipelineModel.load(f"{path}/stages"), **values)
 
 
@@ -160,44 +161,77 @@ def training_frame(df: DataFrame, features: Sequence[str], target: str) -> DataF
     return weighted.withColumn("label", F.col(target).cast("double"))
 
 
-def fit_family(
-    family: str, train: DataFrame, features: Sequence[str], params: Mapping, seed: int = 42
-) -> FittedModel:
-    """Fit one candidate on a frame made by ``training_frame``."""
-    if family not in BUILDERS:
-        raise ValueError(f"no model family named {family!r}")
-    stages, probabilities = BUILDERS[family](train, list(features), dict(params), seed)
-    fitted = Pipeline(stages=stages).fit(train)
-    return FittedModel(family, list(features), fitted, probabilities, params=dict(params))
-
-
-def _weight(params: Mapping) -> dict:
-    return {"weightCol": "class_weight"} if params.get("class_weight") else {}
-
-
-def _depth(params: Mapping) -> int:
-    depth = params.get("max_depth") or DEEPEST
-    if depth > DEEPEST:
-        raise ValueError(f"max_depth {depth} is beyond the deepest tree, {DEEPEST}")
-    return depth
-
-
-def _leaf_depth(params: Mapping) -> int:
-    """Depth of the smallest full tree with the wanted leaves; Spark bounds depth, not leaves."""
-    leaves = params.get("max_leaf_nodes", 31)
-    return min(_depth(params), max(1, math.ceil(math.log2(leaves))))
-
-
-def _subset(params: Mapping) -> str:
-    value = params.get("max_features")
-    return "all" if value is None else str(value)
+def tree_candidate(
+    family: str, params: Mapping, counts: tuple[int, int], number: int = 0, seed: int = 42
+) -> Candidate:
+    """How a tree family with these parameters is grown, given the training rows of class 0 and 1.
+
+    ``undersample`` draws the rows of both classes equally often into each bootstrapped tree, about
+    as many as the smaller class has.
+    """
+    split = {k: params[k] for k in ("max_depth", "min_samples_split", "min_samples_leaf", "max_features") if k in params}
+    if family == "gradient_boosting":
+        spec = Boosting(
+            params["n_estimators"],
+            params.get("learning_rate", 0.1),
+            subsample=params.get("subsample", 1.0),
+            seed=seed,
+            **{"max_depth": 3, **split},
+        )
+        return Candidate(number, spec, spec.rounds)
+    if family == "hist_gradient_boosting":
+        spec = Boosting(
+            params["max_iter"],
+            params.get("learning_rate", 0.1),
+            max_leaves=params.get("max_leaf_nodes", 31),
+            l2=params.get("l2_regularization", 0.0),
+            early_stopping=params.get("early_stopping"),
+            newton=True,
+            seed=seed,
+            **{"min_samples_leaf": 20, **split},
+        )
+        return Candidate(number, spec, spec.rounds)
+    if family not in TREE_FAMILIES:
+        raise ValueError(f"no tree family named {family!r}")
+    rates = (1.0, 1.0)
+    if params.get("undersample"):
+        least = min(counts)
+        rates = tuple(least / max(n, 1) for n in counts)
+    spec = Forest(
+        criterion=params.get("criterion", "gini"),
+        bootstrap=bool(params.get("undersample")) or params.get("bootstrap", family == "random_forest"),
+        class_weight=params.get("class_weight"),
+        random_cuts=family == "extra_trees",
+        rates=rates,
+        seed=seed,
+        **({"max_features": None if family == "decision_tree" else "sqrt"} | split),
+    )
+    return Candidate(number, spec, 1 if family == "decision_tree" else params["n_estimators"])
 
 
-def _assemble(features: list[str], to: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=features, outputCol=to)
+def fit_family(
+    family: str,
+    train: DataFrame,
+    features: Sequence[str],
+    params: Mapping,
+    seed: int = 42,
+    key: str = "loan_sequence_number",
+    binned: BinnedTable | None = None,
+) -> FittedModel | TreeModel:
+    """Fit one candidate on a frame made by ``training_frame``; ``key`` names its rows.
+
+    A tree family takes its bins from ``binned`` where that is given.
+    """
+    if family in TREE_FAMILIES:
+        table = binned or bin_table(train, features, key, "label")
+        return fit_trees(table, family, tree_candidate(family, params, table.counts, seed=seed), params)
+    if family != "logistic_regression":
+        raise ValueError(f"no model family named {family!r}")
+    fitted = Pipeline(stages=_logistic(train, list(features), dict(params))).fit(train)
+    return FittedModel(family, list(features), fitted, ["probability"], params=dict(params))
 
 
-def _logistic(train, features, params, seed):
+def _logistic(train: DataFrame, features: list[str], params: Mapping) -> list:
     # The penalty is 1/(C n) when the loss is averaged instead of summed; Spark scales the
     # features itself and penalises the scaled coefficients.
     model = LogisticRegression(
@@ -205,119 +239,6 @@ def _logistic(train, features, params, seed):
         elasticNetParam=0.0,
         maxIter=params.get("max_iter", 1000),
         standardization=True,
-        **_weight(params),
+        **({"weightCol": "class_weight"} if params.get("class_weight") else {}),
     )
-    return [_assemble(features), model], ["probability"]
-
-
-def _tree(train, features, params, seed):
-    common = {
-        "impurity": params.get("criterion", "gini"),
-        "maxDepth": _depth(params),
-        "minInstancesPerNode": params.get("min_samples_leaf", 1),
-        "maxBins": 128,
-        "seed": seed,
-        **_weight(params),
-    }
-    if params.get("max_features") is None:
-        model = DecisionTreeClassifier(**common)
-    else:
-        model = RandomForestClassifier(
-            numTrees=1, bootstrap=False, featureSubsetStrategy=_subset(params), **common
-        )
-    return [_assemble(features), model], ["probability"]
-
-
-def _forest(train, features, params, seed):
-    model = RandomForestClassifier(
-        numTrees=params["n_estimators"],
-        impurity=params.get("criterion", "gini"),
-        maxDepth=_depth(params),
-        minInstancesPerNode=params.get("min_samples_leaf", 1),
-        featureSubsetStrategy=_subset(params),
-        bootstrap=params.get("bootstrap", True),
-        maxBins=128,
-        seed=seed,
-        **_weight(params),
-    )
-    return [_assemble(features), model], ["probability"]
-
-
-def _extra_trees(train, features, params, seed):
-    """Groups of trees, each group over its own random cut points per feature."""
-    row = train.agg(
-        *itertools.chain.from_iterable(
-            (F.min(c).alias(f"{c}|lo"), F.max(c).alias(f"{c}|hi")) for c in features
-        )
-    ).first()
-    draw = random.Random(seed)
-    groups = params.get("groups", GROUPS)
-    stages, probabilities = [], []
-    for g in range(groups):
-        splits = []
-        for c in features:
-            lo, hi = float(row[f"{c}|lo"]), float(row[f"{c}|hi"])
-            cuts = sorted({draw.uniform(lo, hi) for _ in range(params.get("cuts", CUTS))})
-            splits.append([-math.inf, *cuts, math.inf])
-        binned = [f"_g{g}_{c}" for c in features]
-        trees = params["n_estimators"] // groups + (g < params["n_estimators"] % groups)
-        if trees == 0:
-            continue
-        stages += [
-            Bucketizer(splitsArray=splits, inputCols=features, outputCols=binned),
-            _assemble(binned, f"_features{g}"),
-            RandomForestClassifier(
-                featuresCol=f"_features{g}",
-                probabilityCol=f"_probability{g}",
-                rawPredictionCol=f"_raw{g}",
-                predictionCol=f"_class{g}",
-                numTrees=trees,
-                impurity=params.get("criterion", "gini"),
-                maxDepth=_depth(params),
-                minInstancesPerNode=params.get("min_samples_leaf", 1),
-                featureSubsetStrategy=_subset(params),
-                bootstrap=params.get("bootstrap", False),
-                maxBins=128,
-                seed=seed + g,
-                **_weight(params),
-            ),
-        ]
-        probabilities.append(f"_probability{g}")
-    return stages, probabilities
-
-
-def _boosting(train, features, params, seed):
-    model = GBTClassifier(
-        maxIter=params["n_estimators"],
-        stepSize=params.get("learning_rate", 0.1),
-        maxDepth=_depth(params),
-        minInstancesPerNode=params.get("min_samples_leaf", 1),
-        subsamplingRate=params.get("subsample", 1.0),
-        featureSubsetStrategy=_subset(params),
-        seed=seed,
-        **_weight(params),
-    )
-    return [_assemble(features), model], ["probability"]
-
-
-def _hist_boosting(train, features, params, seed):
-    model = GBTClassifier(
-        maxIter=params["max_iter"],
-        stepSize=params.get("learning_rate", 0.1),
-        maxDepth=_leaf_depth(params),
-        minInstancesPerNode=params.get("min_samples_leaf", 20),
-        maxBins=255,
-        seed=seed,
-        **_weight(params),
-    )
-    return [_assemble(features), model], ["probability"]
-
-
-BUILDERS: dict[str, Callable] = {
-    "logistic_regression": _logistic,
-    "decision_tree": _tree,
-    "random_forest": _forest,
-    "extra_trees": _extra_trees,
-    "gradient_boosting": _boosting,
-    "hist_gradient_boosting": _hist_boosting,
-}
+    return [VectorAssembler(inputCols=features, outputCol="features"), model]

@@ -23,13 +23,16 @@ from loanlens.operators.features import stratified_split
 from loanlens.operators.models import (
     SCORE,
     SPACES,
+    TREE_FAMILIES,
     FittedModel,
     candidates,
     fit_family,
     training_frame,
+    tree_candidate,
 )
 from loanlens.operators.project import flag_at, numeric_only
 from loanlens.operators.ranking import best_candidates
+from loanlens.operators.tree_training import TreeModel, bin_table, candidate_scores
 from loanlens.session import materialise
 from loanlens.sources.runlog import append_runs, run_rows
 
@@ -38,7 +41,7 @@ METRICS = ("accuracy", "precision", "recall", "f1", "fbeta", "average_precision"
 
 @dataclass(frozen=True)
 class SearchResult:
-    model: FittedModel
+    model: FittedModel | TreeModel
     results: DataFrame
     metadata: dict
 
@@ -82,44 +85,56 @@ def train_search(
     # and outlives lost executors.
     split = materialise(split, "search-split")
     sizes = {r["is_validation"]: r["count"] for r in split.groupBy("is_validation").count().collect()}
+    tasks = [
+        (f, family, i, params)
+        for f, family in enumerate(models)
+        for i, params in enumerate(candidates(spaces[family], n_iter, seed))
+    ]
+    frames, binned = [], None
+    trees = [n for n, t in enumerate(tasks) if t[1] in TREE_FAMILIES]
+    if trees:
+        # All trees of all candidates are grown over one binned table; only scores come back.
+        binned = bin_table(split, features, key, target, "is_validation")
+        wanted = [tree_candidate(tasks[n][1], tasks[n][3], binned.counts, n, seed) for n in trees]
+        grown = candidate_scores(binned, wanted)
+        frames.append(grown.select("candidate", "is_validation", F.col("label").alias(target), F.col("score").alias(SCORE)))
     # Class weights come from the inner train rows alone, as for any other fitted value.
     inner = training_frame(split.filter("is_validation = 0"), features, target)
     inner = inner.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def run(task: tuple[int, str, int, dict]) -> dict:
-        family_idx, family, idx, params = task
-        model = fit_family(family, inner, features, params, seed)
-        scored = model.score(split, [target, "is_validation"]).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            curve = score_curve(scored, SCORE, target, ["is_validation"])
-            found = threshold_metrics(
-                curve, threshold_strategy, fallback_threshold, beta, ["is_validation"]
-            ).collect()
-        finally:
-            scored.unpersist()
-        sides = {("val" if r["is_validation"] else "train"): r for r in found}
+    def fit_and_score(n: int) -> DataFrame:
+        model = fit_family(tasks[n][1], inner, features, tasks[n][3], seed, key)
+        scored = model.score(split, [target, "is_validation"])
+        return scored.select(F.lit(n).alias("candidate"), "is_validation", target, SCORE)
+
+    others = [n for n in range(len(tasks)) if n not in set(trees)]
+    try:
+        with ThreadPool(max(1, min(parallelism, len(others)))) as pool:
+            frames += pool.map(inheritable_thread_target(spark)(fit_and_score), others)
+    finally:
+        inner.unpersist()
+    scores = frames[0]
+    for f in frames[1:]:
+        scores = scores.union(f)
+    # One curve for all candidates, train and validation rows.
+    curve = score_curve(scores, SCORE, target, ["candidate", "is_validation"])
+    sides: dict[int, dict] = {}
+    groups = ["candidate", "is_validation"]
+    for r in threshold_metrics(curve, threshold_strategy, fallback_threshold, beta, groups).collect():
+        sides.setdefault(r["candidate"], {})["val" if r["is_validation"] else "train"] = r
+    rows = []
+    for n, (family_idx, family, idx, params) in enumerate(tasks):
         row = {
             "model_family": family,
             "family_idx": family_idx,
             "candidate_idx": idx,
             "params_json": json.dumps(params, sort_keys=True),
-            "selected_threshold": sides["val"]["threshold"],
-            "train_threshold": sides["train"]["threshold"],
+            "selected_threshold": sides[n]["val"]["threshold"],
+            "train_threshold": sides[n]["train"]["threshold"],
         }
         for side in ("train", "val"):
-            row |= {f"{side}_{m}": sides[side][m] for m in METRICS}
-        return row
-
-    tasks = [
-        (f, family, i, params)
-        for f, family in enumerate(models)
-        for i, params in enumerate(candidates(spaces[family], n_iter, seed))
-    ]
-    try:
-        with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
-            rows = pool.map(inheritable_thread_target(spark)(run), tasks)
-    finally:
-        inner.unpersist()
+            row |= {f"{side}_{m}": sides[n][side][m] for m in METRICS}
+        rows.append(row)
 
     numbers = ["selected_threshold", "train_threshold"]
     numbers += [f"{s}_{m}" for s in ("train", "val") for m in METRICS]
@@ -138,7 +153,7 @@ def train_search(
         t[3] for t in tasks if (t[1], t[2]) == (best["model_family"], best["candidate_idx"])
     )
     both = training_frame(split, features, target)
-    model = fit_family(best["model_family"], both, features, params, seed)
+    model = fit_family(best["model_family"], both, features, params, seed, key)
     metadata = {
         "run_id": uuid.uuid4().hex,
         "experiment": experiment,
@@ -181,7 +196,7 @@ def _log_search(spark, path: str, metadata: Mapping, winners: Sequence) -> None:
 
 
 def evaluate(
-    model: FittedModel,
+    model: FittedModel | TreeModel,
     features_test: DataFrame,
     target: str = "default",
     key: str = "loan_sequence_number",

@@ -289,51 +289,6 @@ def score_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Models: results are checked by rows and by tests, SQL cannot say them.
 
-# Small settings for the tests of the operators; no query uses them.
-SMALL = {
-    "logistic_regression": {"C": [0.01, 1.0], "class_weight": [None], "max_iter": [100]},
-    "decision_tree": {
-        "criterion": ["gini", "entropy"],
-        "max_depth": [5],
-        "min_samples_leaf": [10],
-        "max_features": [None],
-        "class_weight": ["balanced"],
-    },
-    "random_forest": {
-        "n_estimators": [20],
-        "criterion": ["gini"],
-        "max_depth": [5],
-        "min_samples_leaf": [5],
-        "max_features": ["sqrt"],
-        "bootstrap": [True],
-        "class_weight": [None],
-    },
-    "extra_trees": {
-        "n_estimators": [20],
-        "criterion": ["gini"],
-        "max_depth": [5],
-        "min_samples_leaf": [5],
-        "max_features": ["sqrt"],
-        "bootstrap": [False],
-        "class_weight": [None],
-    },
-    "gradient_boosting": {
-        "n_estimators": [10],
-        "learning_rate": [0.2],
-        "max_depth": [3],
-        "min_samples_leaf": [10],
-        "subsample": [0.8],
-        "max_features": [None],
-    },
-    "hist_gradient_boosting": {
-        "max_iter": [10],
-        "learning_rate": [0.2],
-        "max_depth": [3],
-        "min_samples_leaf": [20],
-    },
-}
-
-
 def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_by_year(rows, V.TRAIN_UNTIL, V.TEST_FROM)
 

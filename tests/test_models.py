@@ -17,7 +17,7 @@ from loanlens.operators.curve import labelled_metrics
 from loanlens.operators.models import SCORE, SPACES, FittedModel, candidates, fit_family, training_frame
 from loanlens.operators.scoring import infer, score_rows
 from loanlens.operators.search import evaluate, train_search
-from loanlens.plans.model_queries import LOGIT, SMALL
+from loanlens.plans.model_queries import LOGIT
 from loanlens.roles import LOAN_ROLES
 from loanlens.session import fresh_path
 from loanlens.sources import runlog
@@ -25,6 +25,50 @@ from loanlens.streaming.scoring import score_stream
 
 ID = LOAN_ROLES.loan_id
 
+# Small settings: the queries use the full spaces.
+SMALL = {
+    "logistic_regression": {"C": [0.01, 1.0], "class_weight": [None], "max_iter": [100]},
+    "decision_tree": {
+        "criterion": ["gini", "entropy"],
+        "max_depth": [5],
+        "min_samples_leaf": [10],
+        "max_features": [None],
+        "class_weight": ["balanced"],
+    },
+    "random_forest": {
+        "n_estimators": [20],
+        "criterion": ["gini"],
+        "max_depth": [5],
+        "min_samples_leaf": [5],
+        "max_features": ["sqrt"],
+        "bootstrap": [True],
+        "class_weight": [None],
+    },
+    "extra_trees": {
+        "n_estimators": [20],
+        "criterion": ["gini"],
+        "max_depth": [5],
+        "min_samples_leaf": [5],
+        "max_features": [2],
+        "bootstrap": [False],
+        "class_weight": [None],
+    },
+    "gradient_boosting": {
+        "n_estimators": [10],
+        "learning_rate": [0.2],
+        "max_depth": [3],
+        "min_samples_leaf": [10],
+        "subsample": [0.8],
+        "max_features": [None],
+    },
+    "hist_gradient_boosting": {
+        "max_iter": [10],
+        "learning_rate": [0.2],
+        "max_depth": [3],
+        "min_samples_leaf": [20],
+    },
+}
+
 
 @pytest.fixture(scope="module")
 def ten_rows(spark):
