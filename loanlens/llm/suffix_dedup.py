@@ -35,37 +35,66 @@ from loanlens.session import materialise
 WIDTH = 400
 KEY = 200
 GRAM = 16
+#: Bytes whose anchors are sought at once.
+SLICE = 512 << 10
 _SEED = 7
 #: The text a row stands for: 96 bits of hashes.
 TEXT_ID = ["t1", "t2"]
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of all WIDTH-byte strings of the rows, with the first and last start they serve."""
-    n = len(data)
-    span = WIDTH - KEY + 1
-    padded = np.concatenate([data, np.zeros(GRAM + 8, np.uint8)])
-    eight = np.empty(n + 8, dtype=np.uint64)
+    """Anchors of all WIDTH-byte strings of the rows, with the first and last start they serve.
+
+    The bytes are worked on in slices, so that memory does not grow with a chunk or a text; an anchor
+    that serves starts on both sides of a slice's edge is put together again.
+    """
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for start in range(0, len(data), SLICE):
+        place, first, last = _slice_anchors(data, offsets, start, min(start + SLICE, len(data)))
+        if parts and len(place) and place[0] == parts[-1][0][-1] and first[0] == parts[-1][2][-1] + 1:
+            row_start = offsets[np.searchsorted(offsets, first[0], side="right") - 1]
+            if first[0] != row_start:
+                parts[-1][2][-1] = last[0]
+                place, first, last = place[1:], first[1:], last[1:]
+        if len(place):
+            parts.append((place, first, last))
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _slice_anchors(
+    data: np.ndarray, offsets: np.ndarray, start: int, stop: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of the strings that start in a slice; the bytes they reach into are read along."""
+    n, span = stop - start, WIDTH - KEY + 1
+    own = data[start : stop + WIDTH + GRAM]
+    m = len(own)
+    padded = np.concatenate([own, np.zeros(GRAM + 8, np.uint8)])
+    eight = np.empty(m + 8, dtype=np.uint64)
     for k in range(8):
-        own = len(eight[k::8])
-        eight[k::8] = np.frombuffer(padded, "<u8", offset=k, count=own)
-    rank = mix(eight[:n] * np.uint64(0x9E3779B97F4A7C15) ^ eight[8 : n + 8]) >> np.uint64(32)
+        eight[k::8] = np.frombuffer(padded, "<u8", offset=k, count=len(eight[k::8]))
+    rank = mix(eight[:m] * np.uint64(0x9E3779B97F4A7C15) ^ eight[8 : m + 8]) >> np.uint64(32)
     # of equal hashes the last place
-    rank = (rank << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(n, dtype=np.uint64))
-    blocks = np.full((-(-n // span) + 1, span), np.iinfo(np.uint64).max, dtype=np.uint64)
-    blocks.ravel()[:n] = rank
+    rank = (rank << np.uint64(32)) | (np.uint64(0xFFFFFFFF) - np.arange(m, dtype=np.uint64))
+    blocks = np.full((-(-m // span) + 1, span), np.iinfo(np.uint64).max, dtype=np.uint64)
+    blocks.ravel()[:m] = rank
     head = np.minimum.accumulate(blocks, axis=1).ravel()
     tail = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(tail[:n], head[span - 1 : span - 1 + n])
-    place = (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)
-    whole = np.arange(n) + WIDTH <= np.repeat(offsets[1:], np.diff(offsets))
+    place = start + (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)
+    first_row = np.searchsorted(offsets, start, side="right") - 1
+    after = np.searchsorted(offsets, stop)
+    row_starts, row_ends = offsets[first_row:after], offsets[first_row + 1 : after + 1]
+    sizes = np.minimum(row_ends, stop) - np.maximum(row_starts, start)
+    whole = np.arange(start, stop) + WIDTH <= np.repeat(row_ends, sizes)
     begins = np.ones(n, dtype=bool)
     begins[1:] = place[1:] != place[:-1]
-    begins[offsets[:-1][offsets[:-1] < n]] = True
+    begins[row_starts[(row_starts >= start) & (row_starts < stop)] - start] = True
     first = np.flatnonzero(begins & whole)
     ends = np.append(np.flatnonzero(begins | ~whole), n)
     last = ends[np.searchsorted(ends, first, side="right")] - 1
-    return place[first], first, last
+    return place[first], start + first, start + last
 
 
 def _dealt(frame: DataFrame, run: Callable, schema: str) -> DataFrame:
