@@ -97,9 +97,14 @@ class EliasFano:
         return EliasFano(n, width, *parts), at
 
 
+#: Levels of a probability, decimal logarithms from LOWEST up in steps; the 256th is 0.
+LOWEST, STEP = -12.75, 0.05
+
+
 class Trie:
     """Words, the pointers to their ranges of contexts, the contexts within each range, and a byte
-    for the probability of each pair.
+    for the probability of each pair: the same levels in every trie, so that a pair's probability
+    does not depend on the pairs it is held with.
 
     Contexts are numbers below ``contexts``; they are coded relative to their word's range.
     """
@@ -120,11 +125,9 @@ class Trie:
         """From ascending words, the place of each word's first pair (and the number of pairs), and
         the ascending contexts and log probabilities of the pairs of each word."""
         rank = np.repeat(np.arange(len(words), dtype=np.uint64), np.diff(first))
-        lowest, highest = (float(log_p.min()), float(log_p.max())) if len(log_p) else (0.0, 0.0)
-        step = (highest - lowest) / 255 or 1.0
-        codes = np.rint((log_p - lowest) / step).astype(np.uint8)
+        codes = np.clip(np.rint((log_p - LOWEST) / STEP), 0, 255).astype(np.uint8)
         levels = (words, first, rank * np.uint64(contexts) + context.astype(np.uint64))
-        head = np.array([contexts, lowest, step], dtype="<f8").tobytes()
+        head = np.array([contexts, LOWEST, STEP], dtype="<f8").tobytes()
         return b"".join([head, *(EliasFano.encode(x).to_bytes() for x in levels), codes.tobytes()])
 
     @staticmethod

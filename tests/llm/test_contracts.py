@@ -214,3 +214,18 @@ def test_subwords_decode_to_the_text(spark, sf_dir, rows):
     for i, t in texts_of(rows).items():
         assert got[i].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
         assert got[i].n_ids == len(got[i].ids) and (got[i].n_ids > 0) == bool(t)
+
+
+def test_ngram_scores_do_not_depend_on_the_partitions(spark, sf_dir):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for parts in ("2", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append({i: (r.score, r.base_score) for i, r in by_id(spark, "op3_ngram_model", sf_dir).items()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0].keys() == found[1].keys()
+    # parts of a score travel as 4-byte floats
+    for i in found[0]:
+        assert found[0][i] == pytest.approx(found[1][i], rel=1e-6)
