@@ -461,3 +461,79 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damaged(table(spark, sf_dir, "conversations")))
+
+
+#: The contract in SQL: faults by a table-driven crc32, and the cheapest edits by a recursion over the
+#: rows that keeps the best (cost, audit) of every state with what it writes.
+SQL = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT i, i, 0 FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS entry FROM bits WHERE k = 8
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+), faulty AS (
+  SELECT k.*, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(name) + 1), lambda i: CAST(ascii(substr(name, i, 1)) AS BIGINT))),
+    lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+  FROM keyed k, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM faulty WHERE fault <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS pos,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS mark
+  FROM damaged
+), faults AS (
+  SELECT *, mark = '' AS blank,
+         mark <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS duplicate,
+         substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before
+  FROM placed
+), marked AS (
+  SELECT *, NOT blank AND NOT duplicate AND mark NOT IN ('.', '!', '?') AS cut FROM faults
+), inserts(state, mid, edits, lines) AS (
+  VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''), (0, 2, 'I', chr(10) || 'user:'),
+         (1, 2, 'I', chr(10) || 'user:'), (3, 2, 'I', chr(10) || 'user:'), (2, 3, 'I', chr(10) || 'assistant:'),
+         (0, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 3, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')
+), steps AS (
+  SELECT conv_id, pos, state, state AS after, 2 AS cost, 'D' AS edits, '' AS lines FROM marked, range(4) t(state)
+  UNION ALL
+  SELECT conv_id, pos, state, CASE initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END,
+         5 * length(edits) + CASE WHEN cut THEN 5 ELSE 0 END, edits || 'K', lines || chr(10) || role || ':' || text
+  FROM marked, inserts WHERE NOT blank AND NOT duplicate
+    AND (initial = 's' AND mid = 0 OR initial = 'u' AND mid <> 2 OR initial = 'a' AND mid = 2)
+  UNION ALL
+  SELECT conv_id, pos, state, CASE WHEN mid = 2 THEN 3 ELSE 2 END, 5 * length(edits) + CASE WHEN cut THEN 6 ELSE 1 END,
+         edits || 'R', lines || chr(10) || CASE WHEN mid = 2 THEN 'assistant:' ELSE 'user:' END || text
+  FROM marked, inserts WHERE NOT blank AND NOT duplicate
+), way(conv_id, pos, state, best) AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT), {'cost': CAST(0 AS BIGINT), 'edits': '', 'lines': ''} FROM marked
+  UNION ALL
+  SELECT s.conv_id, s.pos, CAST(s.after AS BIGINT),
+         min({'cost': CAST(w.best.cost + s.cost AS BIGINT), 'edits': w.best.edits || s.edits, 'lines': w.best.lines || s.lines})
+  FROM way w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.pos = w.pos + 1 AND s.state = w.state
+  GROUP BY s.conv_id, s.pos, s.after
+), sizes AS (
+  SELECT conv_id, max(pos) AS pos, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+         count(*) FILTER (cut) AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+         coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps
+  FROM marked GROUP BY conv_id
+), ends AS (
+  SELECT z.conv_id, min({'cost': CAST(w.best.cost + 5 * length(i.edits) AS BIGINT), 'edits': w.best.edits || i.edits,
+         'lines': w.best.lines || i.lines}) AS best
+  FROM sizes z JOIN way w ON w.conv_id IS NOT DISTINCT FROM z.conv_id AND w.pos = z.pos
+  JOIN inserts i ON i.state = w.state AND (i.mid = 3 OR w.state = 0 AND i.mid = 0)
+  GROUP BY z.conv_id
+), named AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT n.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0) AS cost,
+       coalesce(best.edits, '') AS audit, sha256(coalesce(substr(best.lines, 2), '')) AS repaired_sha256
+FROM named n LEFT JOIN sizes z ON z.conv_id IS NOT DISTINCT FROM n.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM n.conv_id
+"""
