@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ from loanlens.roles import LOAN_ROLES, RoleMap
 DISTANCE_LIMIT = 0.1
 P_LIMIT = 0.05
 SPREAD_FLOOR = 0.001
+#: Sample size up to which a Kolmogorov-Smirnov p-value counts all orders of the two samples.
+EXACT_ROWS = 10_000
+#: Bins of equal reference mass, and the least share a bin is taken to have.
+STABILITY_BINS = 10
+LEAST_SHARE = 1e-4
 
 
 def drift_features(features: Sequence[str], roles: RoleMap = LOAN_ROLES):
@@ -102,22 +108,94 @@ def numeric_drift(
             "wasserstein_normed",
             F.col("wasserstein") / F.greatest(F.col("spread"), F.lit(SPREAD_FLOOR)),
         )
-        .withColumn("ks_p_value", _ks_p_value(F.col("ks"), F.col("n_reference"), F.col("n_current")))
+        .withColumn("ks_p_value", _ks_p_value("ks", "n_reference", "n_current"))
         .drop("spread")
     )
 
 
-def _ks_p_value(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sample p-value (Kolmogorov's series)."""
-    scale = F.sqrt(n.cast("double") * m / (n + m))
-    x = d * scale
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(100)),
-        F.lit(0.0),
-        lambda total, k: total
-        + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * x * x),
+def ks_p_value(d: float, n: int, m: int) -> float:
+    """Probability that two samples of one distribution lie at least ``d`` apart.
+
+    Up to EXACT_ROWS rows a side all orders of the pooled sample are counted: an order is a lattice
+    path from (0, 0) to (n, m), and the share of paths that stay within the distance is summed along
+    diagonals.  Beyond, Kolmogorov's series.
+    """
+    if n < 1 or m < 1:
+        return 1.0
+    if max(n, m) > EXACT_ROWS:
+        x = d * math.sqrt(n * m / (n + m))
+        if x < 0.2:
+            return 1.0
+        series = sum((1.0 if k % 2 else -1.0) * math.exp(-2.0 * k * k * x * x) for k in range(1, 101))
+        return min(1.0, max(0.0, 2 * series))
+    # in whole numbers the distance at (i, j) is |i m - j n|
+    least = round(d * n * m)
+    inside = np.zeros(n + 1)
+    inside[0] = 1.0
+    for s in range(1, n + m + 1):
+        i = np.arange(n + 1)
+        j = s - i
+        # the last step of a random path to (i, j) came from (i - 1, j) with probability i / s
+        step = inside * np.clip(j, 0, None) / s
+        step[1:] += inside[:-1] * i[1:] / s
+        allowed = (j >= 0) & (j <= m) & (np.abs(i * m - j * n) < least)
+        inside = np.where(allowed, step, 0.0)
+    return float(min(1.0, max(0.0, 1.0 - inside[n])))
+
+
+@F.pandas_udf(T.DoubleType())
+def _ks_p_value(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """One value per (year, feature), so the rows here are few."""
+    return pd.Series([ks_p_value(x, int(a), int(b)) for x, a, b in zip(d, n, m, strict=True)])
+
+
+def population_stability(
+    reference: DataFrame,
+    current: DataFrame,
+    columns: Sequence[str],
+    years: Sequence[int],
+    year: str = "year",
+    bins: int = STABILITY_BINS,
+) -> DataFrame:
+    """Population stability index per (year, numeric feature): (q - p) ln(q / p) over the bins.
+
+    A value's bin is the share of reference rows below it, from exact ranks, so that bins hold about
+    equal reference mass and equal values stay together.  Bins without rows count as LEAST_SHARE.
+    The reference is read once for all years.
+    """
+    pooled = _pooled(reference, current, columns, year)
+    items = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns]
+    counts = (
+        pooled.select("_year", F.explode(F.array(*items)).alias("i"))
+        .select("_year", "i.*")
+        .filter(F.col("value").isNotNull())
+        .groupBy("feature", "value")
+        .agg(*_counters(years))
     )
-    return F.when(x < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series)))
+    summed = running_sums(counts, ["feature"], "value", ["r"])
+    below = F.col("upto_r") - F.col("r")
+    number = F.least(F.floor(below * bins / F.col("all_r")), F.lit(bins - 1))
+    names = ["r", *[f"y{y}" for y in years]]
+    binned = summed.filter("all_r > 0").groupBy("feature", number.alias("bin")).agg(*[F.sum(c).alias(c) for c in names])
+    totals = binned.groupBy("feature").agg(*[F.sum(c).alias(f"all_{c}") for c in names])
+    joined = binned.join(totals, "feature")
+    floor = F.lit(LEAST_SHARE)
+    p = F.greatest(ratio(F.col("r"), F.col("all_r")), floor)
+    results = []
+    for y in years:
+        q = F.greatest(ratio(F.col(f"y{y}"), F.col(f"all_y{y}")), floor)
+        results.append(
+            F.struct(
+                F.lit(y).alias("year"),
+                F.max("all_r").alias("n_reference"),
+                F.max(f"all_y{y}").alias("n_current"),
+                F.count("*").alias("n_bins"),
+                F.sum((q - p) * F.ln(q / p)).alias("psi"),
+            ).alias(f"s{y}")
+        )
+    rows = joined.groupBy("feature").agg(*results)
+    rows = rows.select("feature", F.explode(F.array(*[f"s{y}" for y in years])).alias("s"))
+    return rows.select("feature", "s.*").filter("n_current > 0")
 
 
 def categorical_drift(

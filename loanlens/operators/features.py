@@ -14,32 +14,62 @@ from pyspark.sql import types as T
 
 from loanlens.functions import scalars as S
 from loanlens.operators.bounded import attach
-from loanlens.operators.prefix import exact_medians
+from loanlens.operators.prefix import exact_medians, running_sums
 from loanlens.operators.project import drop_unused, present
 from loanlens.operators.ranking import take_by_key
 from loanlens.roles import LOAN_ROLES, RoleMap
+from loanlens.session import fresh_path, materialise
 
 UNSEEN = "unknown"
-MAX_CLASSES = 1_000_000
+#: Classes of a column that are kept as a list and go into plans; more stay a table.
+LIST_CLASSES = 10_000
+#: A value that more than one row in this many has is hot; there are fewer of them than that.
+HOT_SHARE = 1_000
+_DICTIONARY = "column string, value string, code long"
+
+
+@dataclass(frozen=True)
+class Dictionary:
+    """Classes of columns with many of them, as a written table of (column, value, code)."""
+
+    path: str
+    #: Code of the unseen class of each column.
+    unseen: dict[str, int]
+
+    def table(self, spark: SparkSession, column: str | None = None) -> DataFrame:
+        rows = spark.read.schema(_DICTIONARY).parquet(self.path)
+        return rows if column is None else rows.filter(F.col("column") == column)
 
 
 @dataclass(frozen=True)
 class Transformers:
-    """Medians and class lists learned on the training rows."""
+    """Medians and classes learned on the training rows, those of large columns in a dictionary."""
 
     medians: dict[str, float | None]
     classes: dict[str, list[str]]
+    dictionary: Dictionary | None = None
 
     def codes(self, column: str) -> dict[str, int]:
         return {value: i for i, value in enumerate(self.classes[column])}
 
+    @property
+    def columns(self) -> list[str]:
+        return [*self.classes, *(self.dictionary.unseen if self.dictionary else ())]
+
     def save(self, spark: SparkSession, path: str) -> None:
-        row = spark.createDataFrame([(json.dumps(asdict(self)),)], "value string")
+        values = asdict(self)
+        if self.dictionary:
+            self.dictionary.table(spark).write.mode("overwrite").parquet(f"{path}-dictionary")
+            values["dictionary"]["path"] = f"{path}-dictionary"
+        row = spark.createDataFrame([(json.dumps(values),)], "value string")
         row.coalesce(1).write.mode("overwrite").text(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Transformers:
-        return Transformers(**json.loads(spark.read.text(path).first()[0]))
+        values = json.loads(spark.read.text(path).first()[0])
+        if values.get("dictionary"):
+            values["dictionary"] = Dictionary(**values["dictionary"])
+        return Transformers(**values)
 
 
 def date_features(df: DataFrame, roles: RoleMap = LOAN_ROLES) -> DataFrame:
@@ -72,30 +102,56 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     ]
 
 
-def class_lists(
-    df: DataFrame, columns: Sequence[str], max_classes: int = MAX_CLASSES
-) -> dict[str, list[str]]:
-    """Sorted distinct values per column with the unseen class, from one grouped pass."""
+def fit_classes(
+    df: DataFrame, columns: Sequence[str], list_classes: int = LIST_CLASSES
+) -> tuple[dict[str, list[str]], Dictionary | None]:
+    """Sorted distinct values per column and the unseen class, from one grouped pass.
+
+    The classes of a column are numbered by running counts over range partitions.  Only columns with
+    at most ``list_classes`` classes, which are counted first, come to the driver.
+    """
     text = df.select(*[S.or_missing_class(F.col(c)).alias(c) for c in columns])
     distinct = text.unpivot([], list(columns), "column", "value").distinct()
-    rows = distinct.take(max_classes + 1)
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes: these columns are not categories")
-    found = {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
-    return {c: v if UNSEEN in v else [*v, UNSEEN] for c, v in found.items()}
+    distinct = materialise(distinct, "classes")
+    unseen = F.max((F.col("value") == UNSEEN).cast("int")).alias("unseen")
+    sizes = {r["column"]: r for r in distinct.groupBy("column").agg(F.count("*").alias("n"), unseen).collect()}
+    large = [c for c in columns if c in sizes and sizes[c]["n"] > list_classes]
+    small = [c for c in columns if c not in large]
+    rows = distinct.filter(F.col("column").isin(small)).collect() if small else []
+    found = {c: sorted(r["value"] for r in rows if r["column"] == c) for c in small}
+    lists = {c: v if UNSEEN in v else [*v, UNSEEN] for c, v in found.items()}
+    if not large:
+        return lists, None
+    ones = distinct.filter(F.col("column").isin(large)).withColumn("one", F.lit(1).cast("long"))
+    ranked = running_sums(ones, ["column"], "value", ["one"])
+    coded = ranked.select("column", "value", (F.col("upto_one") - 1).alias("code"))
+    added = [(c, UNSEEN, sizes[c]["n"]) for c in large if not sizes[c]["unseen"]]
+    coded = coded.union(df.sparkSession.createDataFrame(added, _DICTIONARY)) if added else coded
+    path = fresh_path(df.sparkSession, "dictionary")
+    coded.write.parquet(path)
+    written = df.sparkSession.read.schema(_DICTIONARY).parquet(path)
+    codes = {r["column"]: r["code"] for r in written.filter(F.col("value") == UNSEEN).collect()}
+    return lists, Dictionary(path, codes)
+
+
+def class_table(spark: SparkSession, t: Transformers) -> DataFrame:
+    """(column, value, code) of all classes."""
+    rows = [(c, v, i) for c in t.classes for v, i in t.codes(c).items()]
+    listed = spark.createDataFrame(rows, _DICTIONARY)
+    return listed.union(t.dictionary.table(spark)) if t.dictionary else listed
 
 
 def fit_transformers(
     train: DataFrame, roles: RoleMap = LOAN_ROLES, keep: Sequence[str] = ()
 ) -> Transformers:
-    """Exact medians of the numeric columns and class lists of the categories."""
+    """Exact medians of the numeric columns and the classes of the categories."""
     outside = (roles.target, roles.loan_id, *keep)
     numbers = numeric_columns(train, outside)
     categories = present(train, roles.encoded)
     # Several passes follow; the parsed columns are kept, on disk where memory is short.
     rows = train.select(*numbers, *categories).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return Transformers(exact_medians(rows, numbers), class_lists(rows, categories))
+        return Transformers(exact_medians(rows, numbers), *fit_classes(rows, categories))
     finally:
         rows.unpersist()
 
@@ -103,8 +159,9 @@ def fit_transformers(
 def transformer_table(spark: SparkSession, t: Transformers) -> DataFrame:
     """(kind, column, key, value) rows of the learned values."""
     rows = [("median", c, "", v) for c, v in t.medians.items()]
-    rows += [("class", c, v, float(i)) for c in t.classes for v, i in t.codes(c).items()]
-    return spark.createDataFrame(rows, "kind string, column string, key string, value double")
+    medians = spark.createDataFrame(rows, "kind string, column string, key string, value double")
+    code = F.col("code").cast("double").alias("value")
+    return medians.union(class_table(spark, t).select(F.lit("class"), "column", "value", code))
 
 
 def impute(df: DataFrame, values: dict) -> DataFrame:
@@ -114,6 +171,8 @@ def impute(df: DataFrame, values: dict) -> DataFrame:
 
 def encode_labels(df: DataFrame, t: Transformers) -> DataFrame:
     """Class position per category; unseen values get the position of the unseen class."""
+    for c in present(df, t.dictionary.unseen if t.dictionary else ()):
+        df = _encode_large(df, c, t.dictionary)
     columns = present(df, t.classes)
     if not columns:
         return df
@@ -135,6 +194,33 @@ def encode_labels(df: DataFrame, t: Transformers) -> DataFrame:
     return coded.select(*[result[c].alias(c) if c in result else F.col(c) for c in order])
 
 
+def _encode_large(df: DataFrame, column: str, dictionary: Dictionary) -> DataFrame:
+    """Codes of a column by a join with its dictionary, each task getting a share of any value.
+
+    Values that more than one row in HOT_SHARE has, fewer than HOT_SHARE by arithmetic, are counted
+    first, and their codes are sent to all tasks; no other value holds more than its part of the
+    rows.  Rows of a stream, which can't be counted, all meet the table.
+    """
+    spark, order = df.sparkSession, df.columns
+    codes = dictionary.table(spark, column).select(F.col("value").alias("_text"), F.col("code").alias("_code"))
+    text = df.withColumn("_text", S.or_missing_class(F.col(column)))
+    unseen = F.lit(dictionary.unseen[column])
+    code = F.coalesce("_code", unseen).cast("int").alias(column)
+    chosen = [code if c == column else F.col(c) for c in order]
+    if df.isStreaming:
+        return text.join(codes, "_text", "left").select(*chosen)
+    counts = text.groupBy("_text").agg(F.count("*").alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") * HOT_SHARE > total).join(codes, "_text", "left").select("_text", "_code")
+    rows = hot.collect()
+    if not rows:
+        return text.join(codes, "_text", "left").select(*chosen)
+    known = spark.createDataFrame(rows, "_text string, _code long").withColumn("_hot", F.lit(1))
+    marked = text.join(F.broadcast(known), "_text", "left")
+    rare = marked.filter("_hot IS NULL").drop("_code", "_hot").join(codes, "_text", "left")
+    return marked.filter("_hot = 1").select(*chosen).union(rare.select(*chosen))
+
+
 def apply_transformers(df: DataFrame, t: Transformers) -> DataFrame:
     """Median imputation and label encoding; nothing is learned here."""
     return encode_labels(impute(df, t.medians), t)
@@ -144,6 +230,8 @@ def one_hot(df: DataFrame, t: Transformers, columns: Sequence[str]) -> DataFrame
     """0/1 columns ``column_VALUE`` for the classes seen in training; unseen is all zero."""
     made = {}
     for c in present(df, columns):
+        if c not in t.classes:
+            raise ValueError(f"{c} has too many classes for a column each")
         for v in t.classes[c]:
             if v not in (UNSEEN, S.MISSING_CLASS):
                 made[f"{c}_{v}"] = F.coalesce((F.col(c) == v).cast("int"), F.lit(0))

@@ -1,4 +1,4 @@
-"""Six classifier families, logistic regression on Spark ML and trees on binned tables, with save and load."""
+"""Six classifier families, their search spaces, and fitted models of Spark ML, with save and load."""
 
 from __future__ import annotations
 
@@ -8,15 +8,14 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators.bounded import attach
 from loanlens.operators.features import class_weights
+from loanlens.operators.logistic import LogitModel, fit_newton
 from loanlens.operators.project import align_features, sanitise_numbers
 from loanlens.operators.tree_training import BinnedTable, Candidate, TreeModel, bin_table, fit_trees
 from loanlens.operators.trees import Boosting, Forest
@@ -27,6 +26,7 @@ SCORE = "probability_default"
 SPACES: dict[str, dict[str, list]] = {
     "logistic_regression": {
         "C": [10 ** (-3 + 5 * i / 29) for i in range(30)],
+        "solver": ["lbfgs", "liblinear"],
         "class_weight": [None, "balanced"],
         "max_iter": [1000, 2000, 4000],
     },
@@ -130,14 +130,20 @@ class FittedModel:
         row.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> FittedModel | TreeModel:
+    def load(spark: SparkSession, path: str) -> Model:
         """The model saved at a path, of whatever kind."""
         values = json.loads(spark.read.text(f"{path}/metadata").first()[0])
         if values.get("kind") == "trees":
             return TreeModel.load(path, values)
+        if values.get("kind") == "logit":
+            return LogitModel.load(values)
         return FittedModel(stages=PipelineModel.load(f"{path}/stages"), **values)
 
 
+#: What fitting gives: all score, save and load alike.
+Model = FittedModel | TreeModel | LogitModel
+
+
 def candidates(space: Mapping[str, Sequence], n_iter: int, seed: int) -> list[dict]:
     """Distinct random combinations, the whole space when it is not larger than asked."""
     names = list(space)
@@ -217,9 +223,10 @@ def fit_family(
     seed: int = 42,
     key: str = "loan_sequence_number",
     binned: BinnedTable | None = None,
-) -> FittedModel | TreeModel:
+) -> Model:
     """Fit one candidate on a frame made by ``training_frame``; ``key`` names its rows.
 
+    The solver of logistic regression says whether the intercept is penalised (liblinear) or not.
     A tree family takes its bins from ``binned`` where that is given.
     """
     if family in TREE_FAMILIES:
@@ -227,18 +234,4 @@ def fit_family(
         return fit_trees(table, family, tree_candidate(family, params, table.counts, seed=seed), params)
     if family != "logistic_regression":
         raise ValueError(f"no model family named {family!r}")
-    fitted = Pipeline(stages=_logistic(train, list(features), dict(params))).fit(train)
-    return FittedModel(family, list(features), fitted, ["probability"], params=dict(params))
-
-
-def _logistic(train: DataFrame, features: list[str], params: Mapping) -> list:
-    # The penalty is 1/(C n) when the loss is averaged instead of summed; Spark scales the
-    # features itself and penalises the scaled coefficients.
-    model = LogisticRegression(
-        regParam=1.0 / (params["C"] * max(train.count(), 1)),
-        elasticNetParam=0.0,
-        maxIter=params.get("max_iter", 1000),
-        standardization=True,
-        **({"weightCol": "class_weight"} if params.get("class_weight") else {}),
-    )
-    return [VectorAssembler(inputCols=features, outputCol="features"), model]
+    return fit_newton(train, features, params, params.get("solver") == "liblinear")

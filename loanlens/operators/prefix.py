@@ -18,22 +18,17 @@ _BUCKET = "_bucket"
 def with_buckets(
     counts: DataFrame, groups: Sequence[str], order: str, rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
-    """Adds bucket numbers that rise with ``order`` and hold about equally many rows of a group.
+    """Adds bucket numbers that rise with ``order`` in each group and hold about equally many rows.
 
-    The number of buckets follows the number of rows, the edges are quantiles of the rows of each
-    group.  Edges only decide where a row is placed; results do not depend on their error.
+    Buckets are the partitions of a range partitioning by groups and ``order``, whose number follows
+    the number of rows; a row finds its own by binary search, and strings work like numbers.  They
+    are written, since another run of the partitioning could draw other bounds.
     """
     parts = -(-counts.agg(F.count("*")).first()[0] // rows_per_bucket)
     if parts <= 1:
         return counts.withColumn(_BUCKET, F.lit(0))
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    edges = counts.groupBy(*[F.col(g).alias(f"_e_{g}") for g in groups]).agg(
-        F.percentile_approx(order, shares, F.lit(20 * parts)).alias("_edges")
-    )
-    on = [F.col(g).eqNullSafe(F.col(f"_e_{g}")) for g in groups]
-    placed = counts.join(edges, on) if on else counts.withColumn("_edges", edges.scalar())
-    bucket = F.size(F.filter("_edges", lambda e: e < F.col(order)))
-    return placed.withColumn(_BUCKET, bucket).drop("_edges", *[f"_e_{g}" for g in groups])
+    ranged = counts.repartitionByRange(parts, *groups, order)
+    return materialise(ranged.withColumn(_BUCKET, F.spark_partition_id()), "buckets")
 
 
 def running_sums(

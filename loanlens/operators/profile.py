@@ -212,6 +212,22 @@ def rate_by_group(df: DataFrame, group: str, target: str = "default") -> DataFra
     )
 
 
+def rate_rollup(df: DataFrame, groups: Sequence[str], target: str = "default") -> DataFrame:
+    """Rates of all groups, of their coarser groups and of the whole, in one aggregation.
+
+    ``level`` is how many of the groups a row is about; a null group of its own has the same level
+    as its neighbours, the nulls of coarser rows a smaller one.  Targets are added up as whole
+    numbers, so that coarser rows are exact sums of finer ones.
+    """
+    finest = df.groupBy(*groups).agg(F.count("*").alias("n"), F.sum(F.col(target).cast("bigint")).alias("d"))
+    rolled = finest.rollup(*groups).agg(
+        F.sum("n").alias("n_loans"),
+        F.sum("d").alias("n_default"),
+        (F.lit(len(groups)) - sum(F.grouping(g).cast("int") for g in groups)).alias("level"),
+    )
+    return rolled.withColumn("default_rate", F.col("n_default").cast("double") / F.col("n_loans"))
+
+
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width bins between minimum and maximum; the maximum is in the last bin."""
     v = F.col(column)

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from loanlens.functions.scalars import seeded_key
 from loanlens.operators.bounded import attach
 from loanlens.roles import LOAN_ROLES, RoleMap
+from loanlens.session import materialise
 
+#: Hexadecimal digits that one histogram counts, and all digits of the key and the row's hash.
 PREFIX = 4
+DIGITS = 64
+#: Rows around a cut that one task ranks.
+EDGE_ROWS = 100_000
 CHUNK = 100_000
 
 
@@ -78,56 +83,81 @@ def take_by_key(
     wanted: Column,
     seed: int = 42,
     flag: str | None = None,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
     """The ``wanted`` rows per group with the smallest seeded key, exactly.
 
-    ``wanted`` may use ``n``, the size of the group.  A histogram over the leading digits of
-    the key says which digit range holds the cut; rows before it are taken without sorting
-    and only the rows inside that one range are ranked.  No group is ever sorted whole.
+    ``wanted`` may use ``n``, the size of the group.  Rows are ordered by the digits of the key and,
+    for equal and null ids, of a hash of the whole row.  A histogram over leading digits says which
+    digit range holds the cut of each group.  Where that range has more than ``edge_rows`` rows, the
+    next digits in which its rows differ are counted, and so on.  Rows before the cut are taken
+    without sorting; only the rows inside the last range are ranked, equal rows as one with a count.
     With ``flag`` all rows are returned, marked 1 or 0.
     """
-    keyed = df.withColumn("_key", seeded_key(F.col(key), seed)).withColumn(
-        "_prefix", F.substring("_key", 1, PREFIX)
-    )
-    running = Window.partitionBy(*groups).orderBy("_prefix")
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in df.columns])
+    keyed = df.withColumn("_key", F.concat(seeded_key(F.col(key), seed), F.md5(text)))
     whole = Window.partitionBy(*groups)
-    histogram = (
-        keyed.groupBy(*groups, "_prefix")
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_upto", F.sum("_c").over(running))
-        .withColumn("n", F.sum("_c").over(whole))
-        .withColumn("_want", F.least(wanted.cast("bigint"), F.col("n")))
-    )
-    before = F.col("_upto") - F.col("_c")
-    cut = histogram.filter(
-        (F.col("_want") > 0) & (before < F.col("_want")) & (F.col("_want") <= F.col("_upto"))
-    ).select(*groups, F.col("_prefix").alias("_cut"), (F.col("_want") - before).alias("_need"))
-    if groups:
-        marked = attach(keyed, cut, groups, "left")
-    else:
-        row = cut.first()
-        marked = keyed.withColumns(
-            {
-                "_cut": F.lit(row["_cut"] if row else None).cast("string"),
-                "_need": F.lit(row["_need"] if row else 0).cast("bigint"),
-            }
+    length, marked, cut = PREFIX, keyed, None
+    while True:
+        prefix = F.substring("_key", 1, length)
+        inside = marked if cut is None else marked.filter(F.substring("_key", 1, before_length) == F.col("_cut"))
+        running = whole.orderBy("_prefix")
+        wants = wanted.cast("bigint") if cut is None else F.col("_need")
+        kept = [] if cut is None else ["_need"]
+        histogram = (
+            inside.groupBy(*groups, *kept, prefix.alias("_prefix"))
+            .agg(F.count("*").alias("_c"), F.min("_key").alias("_least"), F.max("_key").alias("_most"))
+            .withColumn("_upto", F.sum("_c").over(running))
+            .withColumn("n", F.sum("_c").over(whole))
+            .withColumn("_want", F.least(wants, F.col("n")))
         )
-    inside = F.col("_prefix") == F.col("_cut")
-    rank_here = Window.partitionBy(*groups, "_edge").orderBy("_key", *df.columns)
+        before = F.col("_upto") - F.col("_c")
+        cut = histogram.filter(
+            (F.col("_want") > 0) & (before < F.col("_want")) & (F.col("_want") <= F.col("_upto"))
+        ).select(
+            *groups, F.col("_prefix").alias("_cut"), (F.col("_want") - before).alias("_need"), "_c", "_least", "_most"
+        )
+        cut = materialise(cut, "cut")
+        marked = _with_cut(keyed, cut.drop("_c", "_least", "_most"), groups)
+        # ranges that are too large and whose rows are not all equal
+        same = F.size(F.filter(F.sequence(F.lit(1), F.lit(DIGITS)), _shared))
+        large = cut.filter((F.col("_c") > edge_rows) & (F.col("_least") != F.col("_most")))
+        shared = large.agg(F.min(same)).first()[0]
+        if shared is None or shared >= DIGITS:
+            break
+        before_length, length = length, min(DIGITS, max(shared, length) + PREFIX)
+    here = F.coalesce(F.substring("_key", 1, length) == F.col("_cut"), F.lit(False))
     # Rows away from the cut get a partition of their own kind and are not ranked.
-    edge = marked.filter(F.coalesce(inside, F.lit(False))).withColumn("_edge", F.lit(1))
-    rest = marked.filter(~F.coalesce(inside, F.lit(False)))
-    edge_rows = edge.withColumn(
-        "_take", (F.row_number().over(rank_here) <= F.col("_need")).cast("int")
-    ).drop("_edge")
-    rest_rows = rest.withColumn(
-        "_take", F.coalesce((F.col("_prefix") < F.col("_cut")).cast("int"), F.lit(0))
+    order = [F.col("_key"), *[F.col(c) for c in df.columns]]
+    edge = marked.filter(here).groupBy(*df.columns, "_key", "_need").agg(F.count("*").alias("_copies"))
+    sofar = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_need") - F.coalesce(F.sum("_copies").over(sofar), F.lit(0))
+    ranked = edge.withColumn("_left", left).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    edge_rows_taken = ranked.withColumn("_take", (F.col("_copy") <= F.col("_left")).cast("int"))
+    rest = marked.filter(~here).withColumn(
+        "_take", F.coalesce((F.substring("_key", 1, length) < F.col("_cut")).cast("int"), F.lit(0))
     )
-    result = rest_rows.unionByName(edge_rows)
-    helpers = ["_key", "_prefix", "_cut", "_need"]
+    result = rest.select(*df.columns, "_take").unionByName(edge_rows_taken.select(*df.columns, "_take"))
     if flag is not None:
-        return result.withColumnRenamed("_take", flag).drop(*helpers)
-    return result.filter("_take = 1").drop("_take", *helpers)
+        return result.withColumnRenamed("_take", flag)
+    return result.filter("_take = 1").drop("_take")
+
+
+def _shared(i: Column) -> Column:
+    """True if the least and the largest key of a range share their first ``i`` digits."""
+    return F.substring(F.col("_least"), F.lit(1), i) == F.substring(F.col("_most"), F.lit(1), i)
+
+
+def _with_cut(keyed: DataFrame, cut: DataFrame, groups: Sequence[str]) -> DataFrame:
+    if groups:
+        return attach(keyed, cut, groups, "left")
+    row = cut.first()
+    return keyed.withColumns(
+        {
+            "_cut": F.lit(row["_cut"] if row else None).cast("string"),
+            "_need": F.lit(row["_need"] if row else 0).cast("bigint"),
+        }
+    )
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -24,7 +24,7 @@ from loanlens.operators.models import (
     SCORE,
     SPACES,
     TREE_FAMILIES,
-    FittedModel,
+    Model,
     candidates,
     fit_family,
     training_frame,
@@ -32,7 +32,7 @@ from loanlens.operators.models import (
 )
 from loanlens.operators.project import flag_at, numeric_only
 from loanlens.operators.ranking import best_candidates
-from loanlens.operators.tree_training import TreeModel, bin_table, candidate_scores
+from loanlens.operators.tree_training import bin_table, candidate_scores
 from loanlens.session import materialise
 from loanlens.sources.runlog import append_runs, run_rows
 
@@ -41,7 +41,7 @@ METRICS = ("accuracy", "precision", "recall", "f1", "fbeta", "average_precision"
 
 @dataclass(frozen=True)
 class SearchResult:
-    model: FittedModel | TreeModel
+    model: Model
     results: DataFrame
     metadata: dict
 
@@ -190,13 +190,21 @@ def _log_search(spark, path: str, metadata: Mapping, winners: Sequence) -> None:
     for w in winners:
         child = f"{metadata['run_id']}-{w['model_family']}"
         values = w.asDict()
-        params = {k: values[k] for k in ("model_family", "params_json", "candidate_idx")}
+        # every parameter of the winner by itself, and all of them as one text
+        own = {f"param_{k}": v for k, v in json.loads(values["params_json"]).items()}
+        params = {k: values[k] for k in ("model_family", "params_json", "candidate_idx")} | own
+        params |= {
+            "child_run_name": w["model_family"],
+            "best_params": values["params_json"],
+            "best_candidate_idx": values["candidate_idx"],
+            "best_selected_threshold": values["selected_threshold"],
+        }
         rows += run_rows(metadata["experiment"], child, params, values, metadata["run_id"])
     append_runs(spark, path, rows)
 
 
 def evaluate(
-    model: FittedModel | TreeModel,
+    model: Model,
     features_test: DataFrame,
     target: str = "default",
     key: str = "loan_sequence_number",

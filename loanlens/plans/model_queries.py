@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.operators import drift, features
-from loanlens.operators.attribution import attributions, importance
+from loanlens.operators.attribution import explain, importance
 from loanlens.operators.models import (
     SCORE,
     SPACES,
@@ -76,9 +76,8 @@ def fit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = V.new_features(spark, sf_dir).filter(F.col("year") <= V.TRAIN_UNTIL)
-    found = features.class_lists(train, list(CATEGORIES))
-    rows = [(c, v, i) for c, values in found.items() for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "column string, value string, code int")
+    fitted = features.Transformers({}, *features.fit_classes(train, list(CATEGORIES)))
+    return features.class_table(spark, fitted).withColumn("code", F.col("code").cast("int"))
 
 
 def _as_doubles(df: DataFrame) -> DataFrame:
@@ -109,7 +108,7 @@ def prepare_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.new_features(spark, sf_dir)
     train = rows.filter(F.col("year") <= V.TRAIN_UNTIL)
-    fitted = features.Transformers({}, features.class_lists(train, list(CATEGORIES)))
+    fitted = features.Transformers({}, *features.fit_classes(train, list(CATEGORIES)))
     return features.encode_labels(rows.select(ID, *CATEGORIES), fitted)
 
 
@@ -133,7 +132,7 @@ _HOT = {
 def onehot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.new_features(spark, sf_dir)
     train = rows.filter(F.col("year") <= V.TRAIN_UNTIL)
-    fitted = features.Transformers({}, features.class_lists(train, list(_HOT)))
+    fitted = features.Transformers({}, *features.fit_classes(train, list(_HOT)))
     return features.one_hot(rows.select(ID, *_HOT), fitted, list(_HOT))
 
 
@@ -293,11 +292,16 @@ def _split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_by_year(rows, V.TRAIN_UNTIL, V.TEST_FROM)
 
 
-def _fit(train: DataFrame, family: str) -> FittedModel:
+def _fit(train: DataFrame, family: str):
     """The refit winner among five draws from the family's full space."""
     return train_search(train.select(ID, "default", *ALL), models=[family]).model
 
 
+def _winner(train: DataFrame):
+    """The refit winner among five draws from the full space of every family."""
+    return train_search(train.select(ID, "default", *ALL)).model
+
+
 def _train_query(family: str):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = _split(V.stored_features(spark, sf_dir))
@@ -310,6 +314,15 @@ for _family in SPACES:
     query(f"q_train_{_family}")(_train_query(_family))
 
 
+@query("q_train_undersampled_forest")
+def train_undersampled_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest whose trees each see both classes equally often, for classes of unequal size."""
+    train, test = _split(V.stored_features(spark, sf_dir))
+    space = SPACES["random_forest"] | {"undersample": [True], "class_weight": [None]}
+    rows = train.select(ID, "default", *ALL)
+    return infer(test, train_search(rows, models=["random_forest"], spaces={"random_forest": space}).model)
+
+
 @query("q_search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _split(V.stored_features(spark, sf_dir))
@@ -319,7 +332,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_evaluate")
 def evaluate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _split(V.stored_features(spark, sf_dir))
-    return evaluate(_fit(train, "logistic_regression"), test)[0]
+    return evaluate(_winner(train), test)[0]
 
 
 @query("q_model_store")
@@ -327,7 +340,7 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "model")
     fitted = V.fitted(spark, sf_dir)
     train = V.features(spark, sf_dir).filter(F.col("year") <= V.TRAIN_UNTIL)
-    _fit(features.apply_transformers(train, fitted), "decision_tree").save(spark, path)
+    _winner(features.apply_transformers(train, fitted)).save(spark, path)
     fitted.save(spark, f"{path}/transformers")
     again = features.Transformers.load(spark, f"{path}/transformers")
     return score_rows(V.origination(spark, sf_dir), FittedModel.load(spark, path), again)
@@ -336,7 +349,7 @@ def model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("q_importance")
 def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _split(V.stored_features(spark, sf_dir))
-    phi = attributions(test, _fit(train, "decision_tree"), ID)
+    phi = explain(test, _winner(train), ID)
     return importance(phi).orderBy(F.desc("mean_abs_shap"), "feature").limit(15)
 
 
@@ -389,6 +402,13 @@ _CATEGORY_FRAMES = {
     "WHEN c > 0 THEN 'inf'::DOUBLE ELSE 0 END) AS chi, "
     "count(*) FILTER (r > 0 OR c > 0) - 1 AS degrees FROM share GROUP BY year, feature",
 }
+_STABILITY_FRAMES = {
+    "below": "SELECT *, sum(r) OVER (w ORDER BY value) - r AS below, sum(r) OVER w AS nr, sum(c) OVER w AS nc "
+    "FROM counts WINDOW w AS (PARTITION BY year, feature)",
+    "binned": "SELECT year, feature, least(floor(below * 10 / nr), 9) AS bin, sum(r) AS r, sum(c) AS c, "
+    "max(nr) AS nr, max(nc) AS nc FROM below GROUP BY 1, 2, 3",
+    "shares": "SELECT *, greatest(r / nr, 0.0001::DOUBLE) AS p, greatest(c / nc, 0.0001::DOUBLE) AS q FROM binned",
+}
 _BOTH = (
     "SELECT n.year, n.feature, w1 / greatest(sd, 0.001) >= 0.1 AS drift_detected, "
     "round(w1 / greatest(sd, 0.001), 6) AS drift_score, 'wasserstein' AS stattest_name, "
@@ -414,6 +434,22 @@ def drift_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rows.drop("ks_p_value"))
 
 
+@query(
+    "q_drift_stability",
+    with_frames(
+        "SELECT CAST(year AS INTEGER) AS year, feature, CAST(max(nr) AS BIGINT) AS n_reference, "
+        "CAST(max(nc) AS BIGINT) AS n_current, count(*) AS n_bins, round(sum((q - p) * ln(q / p)), 6) AS psi "
+        "FROM shares GROUP BY year, feature",
+        "applied",
+        **{k: _NUMERIC_FRAMES[k] for k in ("long", "years", "counts")},
+        **_STABILITY_FRAMES,
+    ),
+)
+def drift_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reference, current = _drift_frames(spark, sf_dir)
+    return rounded(drift.population_stability(reference, current, NUMERIC_WATCHED, V.years_in(current)))
+
+
 @query(
     "q_drift_categorical",
     with_frames(

@@ -47,6 +47,23 @@ def default_rate_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumn("default_rate", F.round("default_rate", 6))
 
 
+@query(
+    "q_default_rate_rollup",
+    with_frames(
+        "SELECT * REPLACE (CAST(year AS DOUBLE) AS year) FROM ("
+        'SELECT year, amortization_type, property_state, count(*) AS n_loans, CAST(sum("default") AS BIGINT) AS '
+        "n_default, CAST(3 - GROUPING(year) - GROUPING(amortization_type) - GROUPING(property_state) AS INTEGER) "
+        f"AS level, {RATE} FROM model_input GROUP BY ROLLUP (year, amortization_type, property_state)) t",
+        "model_input",
+    ),
+)
+def default_rate_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = ["year", "amortization_type", "property_state"]
+    rates = profile.rate_rollup(V.model_input(spark, sf_dir), groups)
+    # whole numbers that may be null come back as doubles
+    return rates.withColumns({"default_rate": F.round("default_rate", 6), "year": F.col("year").cast("double")})
+
+
 @query(
     "q_split_summary",
     with_frames(

@@ -141,6 +141,63 @@ def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pack_years(df: DataFrame, folder: str, outer: str, inner: str, member: str) -> DataFrame:
+    """One archive per year with a nested one per quarter, as they are published, from (year, quarter,
+    line); returns the years.  A year's lines stream through the task that writes its file."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = archives.file_system(folder)
+        fs.create_dir(base)
+        year_files, quarter_files, at, done = [], [], (None, None), []
+        for batch in batches:
+            for (year, quarter), part in batch.groupby(["year", "quarter"], sort=True):
+                names = {"year": year, "quarter": quarter}
+                if (year, quarter) != at:
+                    _close(*quarter_files)
+                    if year != at[0]:
+                        _close(*year_files)
+                        stream = fs.open_output_stream(f"{base}/{outer.format(**names)}")
+                        year_files = [zipfile.ZipFile(stream, "w"), stream]
+                        done.append(year)
+                    nested_file = year_files[0].open(inner.format(**names), "w", force_zip64=True)
+                    nested = zipfile.ZipFile(nested_file, "w", zipfile.ZIP_DEFLATED)
+                    text = nested.open(member.format(**names), "w", force_zip64=True)
+                    quarter_files, at = [text, nested, nested_file], (year, quarter)
+                quarter_files[0].write(("\n".join(part["line"]) + "\n").encode())
+        _close(*quarter_files, *year_files)
+        yield pd.DataFrame({"year": done})
+
+    lines = df.select("year", "quarter", "line").repartition("year").sortWithinPartitions("year", "quarter")
+    return lines.mapInPandas(write, "year int")
+
+
+_PERIOD = "CAST(substr(monthly_reporting_period, {}, {}) AS INTEGER)"
+
+
+@query(
+    "q_archive_performance",
+    with_frames(
+        f"SELECT {_PERIOD.format(1, 4)} AS year, concat('Q', CAST(({_PERIOD.format(5, 2)} + 2) // 3 AS VARCHAR)) "
+        "AS quarter, loan_sequence_number, zero_balance_code FROM performance",
+        "performance",
+    ),
+)
+def archive_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = V.performance(spark, sf_dir)
+    month = F.substring("monthly_reporting_period", 5, 2).cast("int")
+    line = [F.coalesce(F.col(c).cast("string"), F.lit("")) if c in events.columns else F.lit("") for c in PERFORMANCE_COLUMNS]
+    rows = events.select(
+        F.substring("monthly_reporting_period", 1, 4).cast("int").alias("year"),
+        F.concat(F.lit("Q"), F.floor((month + 2) / 3).cast("string")).alias("quarter"),
+        F.concat_ws("|", *line).alias("line"),
+    )
+    folder = fresh_path(spark, "yearly-archives")
+    packed = pack_years(rows, folder, archives.OUTER, archives.INNER, archives.PERFORMANCE_MEMBER)
+    years = sorted(r["year"] for r in packed.collect())
+    listed = archives.archive_list(spark, folder, years, archives.PERFORMANCE_MEMBER)
+    return archives.scan_archived_performance(listed)
+
+
 _SCAN_COLUMNS = ("loan_sequence_number", "credit_score", "first_payment_date", "channel", "msa")
 
 
@@ -742,7 +799,11 @@ def union_years_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the newest table has a column that the earlier ones lack; every other year is in their table
     newest = rows.agg(F.max("year")).scalar()
     late = F.coalesce(F.col("year") == newest, F.lit(False))
-    return union_years({}, [rows.filter(~late).drop(code), rows.filter(late)])
+    earlier = rows.filter(~late).drop(code)
+    # the years of the data, a bounded few; their tables come without a year column and get it back
+    years = sorted(r["year"] for r in earlier.select("year").filter("year IS NOT NULL").distinct().collect())
+    by_year = {y: earlier.filter(F.col("year") == y).drop("year") for y in years}
+    return union_years(by_year, [earlier.filter("year IS NULL"), rows.filter(late)])
 
 
 @query(

@@ -114,7 +114,7 @@ def test_transformers_learn_on_train_only(spark, ten_rows):
 
 def test_null_is_a_class_and_observed_unknown_keeps_its_place(spark):
     train = spark.createDataFrame([("x",), ("unknown",), (None,)], "channel string")
-    t = features.Transformers({}, features.class_lists(train, ["channel"]))
+    t = features.Transformers({}, *features.fit_classes(train, ["channel"]))
     assert t.classes["channel"] == ["<NA>", "unknown", "x"]
     new = spark.createDataFrame([("x",), ("new",), (None,)], "channel string")
     assert [r[0] for r in features.encode_labels(new, t).collect()] == [2, 1, 0]
@@ -144,7 +144,7 @@ def test_modes_standardise_weights_and_undersample(spark):
 
 
 def test_space_sizes_and_candidates():
-    assert math.prod(len(v) for v in SPACES["logistic_regression"].values()) == 180
+    assert math.prod(len(v) for v in SPACES["logistic_regression"].values()) == 360
     drawn = candidates(SPACES["random_forest"], 5, 42)
     assert drawn == candidates(SPACES["random_forest"], 5, 42)
     assert len({str(d) for d in drawn}) == 5
@@ -369,7 +369,7 @@ def test_model_queries_draw_from_the_full_spaces(monkeypatch):
 
     calls: list[dict] = []
     full = {k: p.default for k, p in inspect.signature(train_search).parameters.items()}
-    shown = {k: p.default for k, p in inspect.signature(model_queries.attributions).parameters.items()}
+    shown = {k: p.default for k, p in inspect.signature(model_queries.explain).parameters.items()}
     assert full["spaces"] is SPACES and full["n_iter"] == 5
     assert (shown["sample_size"], shown["background_size"]) == (500, 50)
     monkeypatch.setattr(model_queries, "train_search", record)
@@ -387,8 +387,8 @@ def test_model_queries_draw_from_the_full_spaces(monkeypatch):
     assert [c.get("models") for c in calls[4:]] == [[f] for f in SPACES]
     # every other setting is the operator's own
     assert all(set(c) <= {"models"} for c in calls) and "models" not in calls[0]
-    monkeypatch.setattr(model_queries, "_fit", lambda *args: None)
-    monkeypatch.setattr(model_queries, "attributions", record)
+    monkeypatch.setattr(model_queries, "_winner", lambda *args: None)
+    monkeypatch.setattr(model_queries, "explain", record)
     with pytest.raises(Stop):
         QUERIES["q_importance"].build(None, "")
     assert calls[-1] == {}
