@@ -26,9 +26,12 @@ ORDER = 3
 #: Labelled rows a language is learned from, at most about; rows are taken by a hash of the id.
 FIT_ROWS = 400
 UNDETERMINED = "und"
-#: Byte pairs whose combinations have their code lengths kept once computed; others are computed
-#: in every chunk.
+#: Bytes whose code lengths are looked up at once, whatever the length of a text.
+SLICE = 512 << 10
+#: Byte pairs whose combinations have their code lengths kept once computed, as many as fit the
+#: bytes for all languages; others are computed in every slice.
 MEMO_PAIRS = 2_000
+MEMO_BYTES = 64 << 20
 _START = "\n" * ORDER
 _FIT_SCHEMA = "lang string, length int, gram long, n long"
 
@@ -64,7 +67,8 @@ class ByteModel:
     def __init__(self, rows: pd.DataFrame):
         self.langs = sorted(rows["lang"].unique())
         self.levels = [self._levels(rows[rows["lang"] == lang]) for lang in self.langs]
-        common = rows[rows["length"] == 2].groupby("gram")["n"].sum().nlargest(MEMO_PAIRS)
+        pairs = min(MEMO_PAIRS, int((MEMO_BYTES / 4 / max(1, len(self.langs))) ** 0.5) - 1)
+        common = rows[rows["length"] == 2].groupby("gram")["n"].sum().nlargest(pairs)
         pairs = np.sort(common.index.to_numpy(np.int64))
         self.pair_id = np.zeros(65536, dtype=np.int64)
         self.pair_id[pairs] = np.arange(1, len(pairs) + 1)
@@ -112,7 +116,23 @@ class ByteModel:
 
     def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length of every text for every language; texts begin with the start context."""
-        full = np.concatenate([np.zeros(ORDER, np.uint32), grams(data, ORDER + 1)])
+        out = np.zeros((len(offsets) - 1, len(self.langs)))
+        for start in range(0, len(data), SLICE):
+            stop = min(start + SLICE, len(data))
+            first = np.searchsorted(offsets, start, side="right") - 1
+            after = np.searchsorted(offsets, stop)
+            own = np.maximum(offsets[first:after], start)
+            cost = self._costs(data[max(0, start - ORDER) : stop], stop - start)
+            for j in range(ORDER):
+                at = offsets[first:after] + j
+                cost[at[(at >= start) & (at < stop)] - start] = 0
+            out[first:after] += np.add.reduceat(cost, own - start, axis=0, dtype=np.float64)
+        return out
+
+    def _costs(self, data: np.ndarray, n: int) -> np.ndarray:
+        """Code lengths of the last ``n`` bytes; the first ones of all data have no context."""
+        full = grams(data, ORDER + 1)
+        full = np.concatenate([np.zeros(n - len(full), np.uint32), full])
         left, right = self.pair_id[full >> np.uint32(16)], self.pair_id[full & np.uint32(0xFFFF)]
         code = left * self.width + right
         known = (left > 0) & (right > 0)
@@ -125,10 +145,7 @@ class ByteModel:
         if not known.all():
             other, back = np.unique(full[~known], return_inverse=True)
             cost[~known] = self.code_lengths(other)[back]
-        for j in range(ORDER):
-            at = offsets[:-1] + j
-            cost[at[at < offsets[1:]]] = 0
-        return np.add.reduceat(cost, offsets[:-1], axis=0, dtype=np.float64)
+        return cost
 
 
 def _find(ordered: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -327,3 +328,34 @@ def test_repeated_rows(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2]
     cut = suffix_dedup.cut_texts(docs.select("doc_id", F.col("text")))
     assert [r.n_removed for r in cut.collect()] == [len(text)]
+
+
+def test_slices_change_no_anchor(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(97, 101, n, dtype=np.uint8) for n in (0, 300, 400, 2500, 0, 401, 5000, 10)]
+    texts.append(np.full(3000, 97, np.uint8))
+    data, offsets = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    whole = suffix_dedup.anchors(data, offsets)
+    for size in (100, 401, 1777):
+        monkeypatch.setattr(suffix_dedup, "SLICE", size)
+        parts = suffix_dedup.anchors(data, offsets)
+        assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    starts = [s for a, b in zip(whole[1], whole[2], strict=True) for s in range(a, b + 1)]
+    assert starts == [s for a, b in zip(offsets[:-1], offsets[1:], strict=True) for s in range(a, b - 399)]
+
+
+def test_slices_change_no_code_length(monkeypatch):
+    texts = ["\n" * language.ORDER + t for t in ("the cat sat on the mat " * 30, "", "le chat " * 50, "x", "zz top " * 9)]
+    rows = [language.count_grams(pd.DataFrame({"lang": [n], "text": [t]})) for n, t in (("en", texts[0]), ("fr", texts[2]))]
+    model = language.ByteModel(pd.concat(rows))
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    whole = model.bits(data, offsets)
+    assert (whole[1] == 0).all() and whole[0, 0] < whole[0, 1] and whole[2, 1] < whole[2, 0]
+    for size in (4, 50, 333):
+        monkeypatch.setattr(language, "SLICE", size)
+        assert model.bits(data, offsets) == pytest.approx(whole, rel=1e-9)
+    # many languages keep fewer pairs, not more bytes
+    many = pd.concat([r.assign(lang=f"l{i}") for i in range(40) for r in rows[:1]])
+    monkeypatch.setattr(language, "MEMO_BYTES", 40 * 4 * 100)
+    assert language.ByteModel(many).memo.nbytes <= 40 * 4 * 100
