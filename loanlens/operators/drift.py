@@ -128,18 +128,23 @@ def ks_p_value(d: float, n: int, m: int) -> float:
             return 1.0
         series = sum((1.0 if k % 2 else -1.0) * math.exp(-2.0 * k * k * x * x) for k in range(1, 101))
         return min(1.0, max(0.0, 2 * series))
-    # in whole numbers the distance at (i, j) is |i m - j n|
+    # in whole numbers the distance at (i, j) is |i m - j n| = |i (n + m) - s n| on the diagonal
+    # s = i + j, so a diagonal has a band of places inside, which only moves up
+    n, m = min(n, m), max(n, m)
     least = round(d * n * m)
-    inside = np.zeros(n + 1)
-    inside[0] = 1.0
+    inside = np.zeros(n + 2)  # the place before the first is always empty
+    inside[1] = float(least > 0)
+    before = 0
     for s in range(1, n + m + 1):
-        i = np.arange(n + 1)
-        j = s - i
+        low = max(0, s - m, (s * n - least) // (n + m) + 1)
+        high = min(n, s, -((-s * n - least) // (n + m)) - 1)
+        i = np.arange(low, high + 1)
         # the last step of a random path to (i, j) came from (i - 1, j) with probability i / s
-        step = inside * np.clip(j, 0, None) / s
-        step[1:] += inside[:-1] * i[1:] / s
-        allowed = (j >= 0) & (j <= m) & (np.abs(i * m - j * n) < least)
-        inside = np.where(allowed, step, 0.0)
+        step = (inside[low + 1 : high + 2] * (s - i) + inside[low : high + 1] * i) / s
+        inside[before + 1 : high + 2] = 0.0
+        inside[low + 1 : high + 2] = step
+        before = low
+    inside = inside[1:]
     return float(min(1.0, max(0.0, 1.0 - inside[n])))
 
 
