@@ -313,6 +313,47 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _partners(n: np.ndarray, place: np.ndarray, component: np.ndarray, i: int) -> np.ndarray:
+    """Of rows sorted by size, those after ``i`` that are not too large, of another component, and
+    may have enough in common when this shingle is the first common one."""
+    end = int(np.searchsorted(n, n[i] * SHARE[1] // SHARE[0], side="right"))
+    j = np.arange(i + 1, max(end, i + 1))
+    most = np.minimum(n[i] - place[i], n[j] - place[j])
+    return j[(component[j] != component[i]) & (most * (SHARE[0] + SHARE[1]) >= (n[i] + n[j]) * SHARE[0])]
+
+
+def _open_rows(keyed: DataFrame) -> DataFrame:
+    """The rows of (key, cls, n, place, component) that have a possible partner under their key, so
+    that bitmaps are fetched for them alone."""
+
+    def marked(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        columns = np.array(held, dtype=np.int64).reshape(-1, 5)
+        columns = columns[np.argsort(columns[:, 2], kind="stable")]
+        n, place, component = columns[:, 2], columns[:, 3], columns[:, 4]
+        some = np.zeros(len(n), dtype=bool)
+        for i in range(len(n) - 1):
+            j = _partners(n, place, component, i)
+            some[j] = True
+            some[i] |= len(j) > 0
+        if some.any():
+            yield pa.RecordBatch.from_arrays([pa.array(columns[some, c].copy()) for c in range(5)], names=names)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if held and row[0] != held[0][0]:
+                    yield from marked(held)
+                    held = []
+                held.append(row)
+        yield from marked(held)
+
+    names = ["key", "cls", "n", "place", "component"]
+    width = shuffle_width(keyed.sparkSession)
+    rows = keyed.select(*[F.col(c).cast("long") for c in names]).repartition(width, "key").sortWithinPartitions("key")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
 def _cross_pairs(keyed: DataFrame) -> DataFrame:
     """Pairs (a, b) of (key, cls, n, place, component, bits) that share a key, are of different
     components, and may be similar by size, by the most that can be common when this shingle is
@@ -328,12 +369,7 @@ def _cross_pairs(keyed: DataFrame) -> DataFrame:
         maps = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(n), -1)[order]
         found = []
         for i in range(len(n) - 1):
-            # the larger ones that are not too large
-            end = int(np.searchsorted(n, n[i] * SHARE[1] // SHARE[0], side="right"))
-            j = np.arange(i + 1, max(end, i + 1))
-            most = np.minimum(n[i] - place[i], n[j] - place[j])
-            both = n[i] + n[j]
-            j = j[(component[j] != component[i]) & (most * (SHARE[0] + SHARE[1]) >= both * SHARE[0])]
+            j = _partners(n, place, component, i)
             if len(j):
                 differ = np.bitwise_count(maps[j] ^ maps[i]).sum(axis=1, dtype=np.int64)
                 j = j[differ * (SHARE[0] + SHARE[1]) <= (n[i] + n[j]) * (SHARE[1] - SHARE[0])]
@@ -394,7 +430,8 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     now = keyed.join(found.withColumnRenamed("node", "cls"), "cls", "left")
     now = now.withColumn("component", F.coalesce("component", "cls"))
     mixed = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rest = now.join(mixed.filter("low <> high").select("key"), "key").join(sets.select("cls", "bits"), "cls")
+    open_ = materialise(_open_rows(now.join(mixed.filter("low <> high").select("key"), "key")), "open")
+    rest = open_.join(sets.select("cls", "bits"), "cls")
     new = materialise(_cross_pairs(rest).join(pairs, ["a", "b"], "left_anti"), "pairs")
     more = materialise(_verify(new, sets), "verified")
     if more.take(1):
