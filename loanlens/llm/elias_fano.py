@@ -97,12 +97,14 @@ class EliasFano:
         return EliasFano(n, width, *parts), at
 
 
-#: Levels of a probability, decimal logarithms from LOWEST up in steps; the 256th is 0.
-LOWEST, STEP = -12.75, 0.05
+#: Levels of a probability, decimal logarithms from LOWEST up in steps; the last is 0.
+LEVELS = 1 << 16
+LOWEST = -16.0
+STEP = -LOWEST / (LEVELS - 1)
 
 
 class Trie:
-    """Words, the pointers to their ranges of contexts, the contexts within each range, and a byte
+    """Words, the pointers to their ranges of contexts, the contexts within each range, and two bytes
     for the probability of each pair: the same levels in every trie, so that a pair's probability
     does not depend on the pairs it is held with.
 
@@ -118,14 +120,14 @@ class Trie:
             levels.append(level)
             at += size
         self.words, self.pointers, self.pairs = levels
-        self.codes = np.frombuffer(data, np.uint8, self.pairs.n, at)
+        self.codes = np.frombuffer(data, "<u2", self.pairs.n, at)
 
     @staticmethod
     def build(words: np.ndarray, first: np.ndarray, context: np.ndarray, log_p: np.ndarray, contexts: int) -> bytes:
         """From ascending words, the place of each word's first pair (and the number of pairs), and
         the ascending contexts and log probabilities of the pairs of each word."""
         rank = np.repeat(np.arange(len(words), dtype=np.uint64), np.diff(first))
-        codes = np.clip(np.rint((log_p - LOWEST) / STEP), 0, 255).astype(np.uint8)
+        codes = np.clip(np.rint((log_p - LOWEST) / STEP), 0, LEVELS - 1).astype("<u2")
         levels = (words, first, rank * np.uint64(contexts) + context.astype(np.uint64))
         head = np.array([contexts, LOWEST, STEP], dtype="<f8").tobytes()
         return b"".join([head, *(EliasFano.encode(x).to_bytes() for x in levels), codes.tobytes()])

@@ -14,8 +14,8 @@ than the sets of a similar pair may.
 
 Defined results: null text and text without words have an empty set, no links and are their own
 component; texts with equal sets are one class, whatever their number; repeated ids are one node
-with each of their rows returned; other columns are not read. Shingles are told apart by 64-bit
-hashes, sets by 128 bits.
+with each of their rows returned; other columns are not read. Sets are told apart by 128 bits; pairs
+are verified on 48 bits of each shingle's hash, on all 64 where two shingles of a set would meet.
 """
 
 from __future__ import annotations
