@@ -27,11 +27,11 @@ ORDER = 3
 FIT_ROWS = 400
 UNDETERMINED = "und"
 #: Bytes whose code lengths are looked up at once, whatever the length of a text.
-SLICE = 512 << 10
+SLICE = 256 << 10
 #: Byte pairs whose combinations have their code lengths kept once computed, as many as fit the
 #: bytes for all languages; others are computed in every slice.
 MEMO_PAIRS = 2_000
-MEMO_BYTES = 64 << 20
+MEMO_BYTES = 16 << 20
 _START = "\n" * ORDER
 _FIT_SCHEMA = "lang string, length int, gram long, n long"
 
