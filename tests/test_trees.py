@@ -318,3 +318,23 @@ def test_tree_attributions_add_up(loans, monkeypatch, family, params):
         # the same rows and background: 400 walks a row come near the exact values
         apart = np.array([other[r[ID], r["feature"]] - r["phi"] for r in phi])
         assert np.abs(apart).mean() < 0.02 and np.abs(apart).max() < 0.12
+
+
+@pytest.mark.parametrize("even", [False, True])
+def test_cells_are_the_same_counted_and_sorted(even):
+    rng = np.random.default_rng(5)
+    size = np.array([3000, 1, 0, 700])
+    node, n = np.repeat(np.arange(4), size), int(size.sum())
+    code, label = rng.integers(0, 255, n).astype(np.uint8), rng.integers(0, 2, n)
+    weight = np.ones(n, int) if even else rng.integers(1, 31, n)
+    low = (weight << 1 | label).astype(np.uint8)
+    counted = trees._cells(np.arange(10, 14), size, code, low, even)
+    # so many empty nodes that a table would be larger than the rows
+    wide = np.concatenate([size, np.zeros(5000, int)])
+    by_sorting = trees._cells(np.arange(10, 10 + len(wide)), wide, code, low, even)
+    want = sorted(set(zip(node.tolist(), code.tolist(), strict=True)))
+    rows = [[(node < a) | (node == a) & (code <= b) for a, b in want]]
+    sums = [[int((x * r).sum()) for r in rows[0]] for x in (np.ones(n, int), weight, weight * label)]
+    for found in (counted, by_sorting):
+        assert [(a - 10, b) for a, b in zip(found[0].tolist(), found[1].tolist(), strict=True)] == want
+        assert [x.tolist() for x in found[2:]] == sums
