@@ -359,3 +359,16 @@ def test_slices_change_no_code_length(monkeypatch):
     many = pd.concat([r.assign(lang=f"l{i}") for i in range(40) for r in rows[:1]])
     monkeypatch.setattr(language, "MEMO_BYTES", 40 * 4 * 100)
     assert language.ByteModel(many).memo.nbytes <= 40 * 4 * 100
+
+
+def test_pipeline_cuts_passages_of_just_over_fifty_words(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 4)) for _ in range(2000)]
+    own = [" ".join(words[300 * k : 300 * k + 200]) for k in range(4)]
+    passage = " ".join(words[1500:1551])
+    made = [(0, f"{own[0]} {passage}"), (1, f"{passage} {own[1]}"), (2, own[2]), (3, own[3])]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in suffix_dedup.suffix_stage(spark, docs, "").collect()}
+    assert {k: t.strip() for k, t in left.items()} == dict(enumerate(own))
+    # the 400 bytes of the registered operator hold
+    assert suffix_dedup.cut_texts(docs.select("doc_id", "text")).count() == 0
