@@ -338,3 +338,17 @@ def test_cells_are_the_same_counted_and_sorted(even):
     for found in (counted, by_sorting):
         assert [(a - 10, b) for a, b in zip(found[0].tolist(), found[1].tolist(), strict=True)] == want
         assert [x.tolist() for x in found[2:]] == sums
+
+
+def test_a_wave_moves_only_drawn_rows_and_loses_no_tree(spark, loans, monkeypatch):
+    monkeypatch.setattr(tree_training, "LOCAL_CELLS", 3 * 150)
+    table = tree_training.bin_table(loans, NAMES, ID, "default", "is_validation")
+    # one level, so that every tree is finished above: all leaves are closed by their depth
+    params = {"n_estimators": 3, "max_depth": 1, "bootstrap": False}
+    model = tree_training.fit_trees(table, "random_forest", tree_candidate("random_forest", params, table.counts), params)
+    assert model.n_trees == 3
+    tops = [tree_training._Top(tree_candidate("random_forest", {"n_estimators": 1, "undersample": True}, table.counts), 0, trees.tree_keys(1, [0])[0])]
+    tree_training._grow_tops(table, tops)
+    plan = tree_training._finish_wave(table, tops)._jdf.queryExecution().optimizedPlan().toString()
+    # no row ids and held-out flags are dealt, and no group of rows becomes a frame
+    assert "top#" in plan and "held#" not in plan.split("RepartitionByExpression")[0] and plan.count("FlatMapGroupsInPandas") == 1
