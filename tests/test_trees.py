@@ -352,3 +352,31 @@ def test_a_wave_moves_only_drawn_rows_and_loses_no_tree(spark, loans, monkeypatc
     plan = tree_training._finish_wave(table, tops)._jdf.queryExecution().optimizedPlan().toString()
     # no row ids and held-out flags are dealt, and no group of rows becomes a frame
     assert "top#" in plan and "held#" not in plan.split("RepartitionByExpression")[0] and plan.count("FlatMapGroupsInPandas") == 1
+
+
+def test_boosting_of_blocks_stops_where_one_task_stops(spark, loans, monkeypatch):
+    """Without a split the loss never falls, so the loss before the first tree has to count too."""
+    still = loans.select(ID, "default", "is_validation", *[F.lit(1.0).alias(c) for c in NAMES])
+    params = {"max_iter": 20, "early_stopping": True}
+
+    def grown():
+        table = tree_training.bin_table(still, NAMES, ID, "default", "is_validation")
+        return tree_training.fit_trees(table, "hist_gradient_boosting", tree_candidate("hist_gradient_boosting", params, table.counts), params).n_trees
+
+    whole = grown()
+    monkeypatch.setattr(tree_training, "LOCAL_CELLS", 3 * 150)
+    assert grown() == whole == trees.PATIENCE
+
+
+def test_boosting_passes_read_blocks_and_leave_nothing_cached(spark, loans, monkeypatch):
+    monkeypatch.setattr(tree_training, "LOCAL_CELLS", 3 * 150)
+    table = tree_training.bin_table(loans, NAMES, ID, "default", "is_validation")
+    held = set(spark.sparkContext._jsc.getPersistentRDDs())
+    read = []
+    plain = tree_training._histogram_pass
+    monkeypatch.setattr(tree_training, "_histogram_pass", lambda rows, *a: read.append(rows.count()) or plain(rows, *a))
+    made = tree_candidate("gradient_boosting", {"n_estimators": 3}, table.counts)
+    _, grown, scored = tree_training._boost_rows(table, made.spec)
+    assert len(grown) == 3 and scored.count() == 900
+    assert max(read) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= held
