@@ -372,3 +372,31 @@ def test_pipeline_cuts_passages_of_just_over_fifty_words(spark):
     assert {k: t.strip() for k, t in left.items()} == dict(enumerate(own))
     # the 400 bytes of the registered operator hold
     assert suffix_dedup.cut_texts(docs.select("doc_id", "text")).count() == 0
+
+
+def test_ngram_words_are_sent_as_codes_and_come_back():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    codes = ngram_model.Codes(np.sort(words[:2000]))
+    sent = words[rng.integers(0, 3000, 5000)]
+    packed = codes.pack(sent)
+    assert (codes.unpack(packed) == sent).all() and len(packed) < 5 * len(sent)
+    assert (ngram_model.Codes(np.zeros(0, np.uint64)).unpack(ngram_model.Codes(np.zeros(0, np.uint64)).pack(sent)) == sent).all()
+    for numbers in (np.array([0, 1, 254, 255, 256, 2**40]), np.zeros(0, np.int64)):
+        assert ngram_model.unpack_small(ngram_model.pack_small(numbers)).tolist() == numbers.tolist()
+
+
+def test_ngram_shuffles_are_small_and_codes_change_no_score(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(w)}" for w in rng.zipf(1.3, 300) % 5000), i % 7 > 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean").repartition(2).localCheckpoint()
+
+    def sent(frequent):
+        codes = spark.sparkContext.broadcast(frequent)
+        pairs = ngram_model._send(docs, 4, codes).select(*[F.length(c) for c in ngram_model._PAIR]).collect()
+        return sum(x or 0 for r in pairs for x in r)
+
+    assert sent(ngram_model._frequent(docs)) < 0.5 * 28 * 60_200
+    coded = sorted(ngram_model.score(docs).collect())
+    monkeypatch.setattr(ngram_model, "MOST_CODES", 10)
+    assert sorted(ngram_model.score(docs).collect()) == coded
