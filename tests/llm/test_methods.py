@@ -400,3 +400,20 @@ def test_ngram_shuffles_are_small_and_codes_change_no_score(spark, monkeypatch):
     coded = sorted(ngram_model.score(docs).collect())
     monkeypatch.setattr(ngram_model, "MOST_CODES", 10)
     assert sorted(ngram_model.score(docs).collect()) == coded
+
+
+def test_packing_matches_no_pattern_for_words_of_plain_letters(monkeypatch):
+    plain, asked = packing._PLAIN, []
+
+    class Counted:
+        @staticmethod
+        def fullmatch(word):
+            asked.append(word)
+            return plain.fullmatch(word)
+
+    monkeypatch.setattr(packing, "_PLAIN", Counted)
+    ids = packing.WordIds(packing.default_tokenizer())
+    texts = ["Some plain Words and WORDS\nonly some", "naïve, Word! x1 ÀB (some) 日本 a", ""]
+    want = [np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(ids.encode(texts)) == want
+    assert sorted(asked) == sorted({"", "naïve,", "Word!", "x1", "ÀB", "(some)", "日本"})
