@@ -417,3 +417,20 @@ def test_packing_matches_no_pattern_for_words_of_plain_letters(monkeypatch):
     want = [np.array(ids.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert list(ids.encode(texts)) == want
     assert sorted(asked) == sorted({"", "naïve,", "Word!", "x1", "ÀB", "(some)", "日本"})
+
+
+def test_successor_search_compares_few_numbers(monkeypatch):
+    rng = np.random.default_rng(5)
+    read, access = [], EliasFano.access
+    monkeypatch.setattr(EliasFano, "access", lambda self, at: read.append(len(at)) or access(self, at))
+    for top in (2**63, 50_000, 300):
+        values = np.sort(rng.integers(0, top, 20_000, dtype=np.uint64))
+        wanted = np.concatenate([values[::20], rng.integers(0, top + 9, 1000, dtype=np.uint64), [np.uint64(2**64 - 1), np.uint64(0)]])
+        ends = np.sort(rng.integers(0, 20_001, (2, len(wanted))), axis=0)
+        coded = EliasFano.encode(values)
+        whole = np.zeros(len(wanted), np.int64), np.full(len(wanted), 20_000)
+        for start, end in (whole, ends):
+            want = np.clip(np.searchsorted(values, wanted), start, end)
+            assert (coded.first_not_less(wanted, start, end) == want).all()
+        if top == 2**63:
+            assert sum(read) < 8 * len(wanted)
