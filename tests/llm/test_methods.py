@@ -289,6 +289,39 @@ def test_dropout_draws_a_word_anew_wherever_it_stands(spark):
     assert 0.095 < drops.mean() < 0.105 and 0.008 < (drops[1:] & drops[:-1]).mean() < 0.012
 
 
+def test_words_are_merged_side_by_side(monkeypatch):
+    rng = random.Random(3)
+    path = subwords.default_vocabulary()
+    plain, v = subwords.Vocabulary(path), subwords.Vocabulary(path)
+    words = ["interesting", "misunderstanding,", "the", "\u2581", "a\u2581b", "na\u00efve", "\u65e5\u672c\u8a9e", "", "x1=y2", "\U0001f600\n\nend"]
+    words += ["".join(rng.choices("abcdehilnorstu", k=rng.randint(1, 31))) for _ in range(300)]
+    texts = ["", " ", *(" ".join(rng.choices(words, k=rng.randint(1, 200))) for _ in range(30))]
+
+    def alone(text: str, stream: int, dropout: float) -> bytes:
+        parts = [p for run in subwords._RUNS.findall(" " + text) for p in plain._run(run)] if text else []
+        drop, at, out = subwords.dropped(sum(p[1] for p in parts), stream, 7, dropout), 0, b""
+        for part, n, ids in parts:
+            out += plain._skipping(part, drop[at : at + n].tobytes()) if n else ids
+            at += n
+        return out
+
+    expected = {d: [alone(t, i, d) for i, t in enumerate(texts)] for d in (0.0, 0.1, 0.5, 1.0)}
+    long = "a" * 100 + " " + "interesting" * 9
+    long_ids = {d: alone(long, 4, d) for d in expected}
+    assert v.encode(long, 4, 7, 0.3) == alone(long, 4, 0.3)
+    assert all(v.encode(long, 4, 7, d) == x for d, x in long_ids.items())
+
+    def one_by_one(*_):
+        raise AssertionError("a word merged by itself")
+
+    monkeypatch.setattr(subwords.Vocabulary, "encode_run", one_by_one)
+    monkeypatch.setattr(subwords.Vocabulary, "merge_run", one_by_one, raising=False)
+    for d, ids in expected.items():
+        assert [v.encode(t, i, 7, d) for i, t in enumerate(texts)] == ids
+        flat, cuts = v.encode_all(texts, list(range(len(texts))), 7, d)
+        assert [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == ids
+
+
 def test_stages_keep_columns_and_clean_documents(spark, docs, rows, sf_dir):
     import corpus_pipeline
 
