@@ -322,6 +322,47 @@ def test_words_are_merged_side_by_side(monkeypatch):
         assert [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == ids
 
 
+def test_ngram_pairs_of_many_chunks_are_looked_up_once(monkeypatch):
+    rng = np.random.default_rng(8)
+    hashes = np.sort(rng.integers(1, 1 << 63, 40, dtype=np.uint64))
+    codes = ngram_model.Codes(hashes[:5])
+    held, pairs = [], set()
+    for chunk in range(6):
+        own = sorted({(int(w), int(c)) for w, c in rng.integers(0, 40, (60, 2))})
+        pairs |= set(own)
+        words, per_word = np.unique([w for w, _ in own], return_counts=True)
+        row = np.arange(len(own)) % 7
+        context, ones = hashes[[c for _, c in own]], np.ones(len(own), np.uint32)
+        knows = np.array([True, True, False, True, True, True, True])
+        held.append((chunk, hashes[words], per_word.astype(np.uint32), context, ones, row.astype(np.uint16), ones * 2, knows))
+    found = [[hashes, np.arange(40, dtype=np.uint32) + 9, np.full(40, 4, np.uint32)]]
+    totals = ngram_model.Totals(1000, 10, 40)
+    asked, look_up = [], ngram_model.Trie.log_p
+
+    def counting(trie, rank, word, context):
+        asked.append(len(context))
+        return look_up(trie, rank, word, context)
+
+    monkeypatch.setattr(ngram_model.Trie, "log_p", counting)
+    sums = list(ngram_model.shard_sums(held, found, totals, codes))
+    assert sum(asked) == len(pairs)
+    taught = Counter()
+    for _, words, per_word, context, _, row, n, knows in held:
+        for w, c, r, k in zip(np.repeat(words, per_word), context, row, n, strict=True):
+            taught[w, c] += int(k) * bool(knows[r])
+    place = {h: i for i, h in enumerate(hashes)}
+    for batch, (chunk, words, per_word, context, _, row, n, _) in zip(sums, held, strict=True):
+        rows, base, score, known = ngram_model._unpacked([batch.column(c)[0].as_py() for c in ngram_model._SUM], ngram_model._SUM_KINDS, codes)
+        expected = np.zeros((2, 7))
+        for w, c, r, k in zip(np.repeat(words, per_word), context, row, n, strict=True):
+            p = (place[w] + 9 + 0.1) / totals.whole
+            q = (taught[w, c] + 4 * p) / (place[c] + 9 + 4)
+            expected[:, r] += k * math.log10(place[w] + 9 + 0.1), k * math.log10(q)
+        assert batch.column("chunk")[0].as_py() == chunk and rows.tolist() == list(range(7))
+        assert np.allclose(base, expected[0]) and np.allclose(score, expected[1], atol=0.02)
+        assert known.tolist() == [2 * int((row == r).sum()) for r in range(7)]
+
+
 def test_stages_keep_columns_and_clean_documents(spark, docs, rows, sf_dir):
     import corpus_pipeline
 
