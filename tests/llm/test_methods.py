@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -493,6 +495,28 @@ def test_packing_matches_no_pattern_for_words_of_plain_letters(monkeypatch):
     assert sorted(asked) == sorted({"", "naïve,", "Word!", "x1", "ÀB", "(some)", "日本"})
 
 
+def test_packing_keeps_few_bytes_a_word_and_forgets_without_another_id(monkeypatch):
+    rng = np.random.default_rng(6)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, 9)) for _ in range(40_000)]
+    words = [w.upper() if k % 5 == 0 else w + "é,"[: k % 3] for k, w in enumerate(words)]
+    texts = [" ".join(words[k : k + 400]) for k in range(0, len(words), 400)]
+    ids = packing.WordIds(packing.default_tokenizer())
+    want = [np.array(x.ids, "<u4").tobytes() for x in ids.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    list(ids.encode(["warm up"]))
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        assert sum(x == y for x, y in zip(ids.encode(texts), want, strict=True)) == len(texts)
+        kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    finally:
+        tracemalloc.stop()
+    assert kept < 120 * len(words)
+    monkeypatch.setattr(packing, "CACHE_WORDS", 1000)
+    few = packing.WordIds(packing.default_tokenizer())
+    for k in [*range(0, 100, 10), 0, 50]:
+        assert list(few.encode([*texts[k : k + 10], "", " \n", texts[k]])) == [*want[k : k + 10], b"", b"", want[k]]
+
+
 def test_successor_search_compares_few_numbers(monkeypatch):
     rng = np.random.default_rng(5)
     read, access = [], EliasFano.access
