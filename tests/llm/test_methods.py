@@ -517,6 +517,17 @@ def test_packing_keeps_few_bytes_a_word_and_forgets_without_another_id(monkeypat
         assert list(few.encode([*texts[k : k + 10], "", " \n", texts[k]])) == [*want[k : k + 10], b"", b"", want[k]]
 
 
+def test_language_stage_sends_a_text_to_python_once(spark, docs):
+    found = language.identify(docs, ~language.held_out())
+    sent = found._jdf.queryExecution().analyzed().children().head().schema().fieldNames()
+    assert sorted(sent) == sorted({*docs.columns, "_asked"} - {"score"})
+    text = "the quick brown fox and the dog"
+    odd = spark.createDataFrame([(0, text, "en"), (1, None, "en"), (2, "", "en"), (3, text, None), (4, "...", "en")], "doc_id long, text string, lang string")
+    rows = {r.doc_id: r for r in language.identify(odd.coalesce(1), F.lit(True)).collect()}
+    assert [rows[k].lang_pred for k in range(5)] == ["en", "und", "und", "en", "und"]
+    assert rows[0].bits_per_byte == rows[3].bits_per_byte > 0 and [rows[k].bits_per_byte for k in (1, 2, 4)] == [0, 0, 0]
+
+
 def test_successor_search_compares_few_numbers(monkeypatch):
     rng = np.random.default_rng(5)
     read, access = [], EliasFano.access
